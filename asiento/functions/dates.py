@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from asiento.functions.text import as_column, extract, lookup, strip
+from asiento.functions.text import WHITESPACE, as_column, extract, strip
 
 # Month abbreviations, dot included.
 MONTHS = {
@@ -17,38 +19,32 @@ MONTHS = {
 # do not, matches without giving a date.
 _PERIOD_END = r"(?U)FECHA\s+CIERRE\s*:\s*(?:0000-[0-9]{2}-[0-9]{2}|([0-9]{4}-[0-9]{2}-[0-9]{2}))"
 
-# Years 1 to 9999: others cannot be collected into a Python date either.
-_YEAR = r"^\s*\+?0*([1-9][0-9]{0,3})\s*$"
-
-
-def _year(token: Column) -> Column:
-    return F.regexp_extract(token, _YEAR, 1).try_cast("int")
+# The pieces of a written date, brought into the order of an ISO date behind a blank, which stripped
+# text never starts with: what did not match is told from what did. Then the year, padded above, is cut
+# to its four digits; years beyond 9999 and the year 0 give no text and so no date.
+_DATETIME = r"^\+?0*([0-9]{1,2}) \+?0*([0-9]{1,2}) \+?0*([0-9]+)[ :]\+?0*([0-9]{1,2})[ :]\+?0*([0-9]{1,2})$"
+_DATETIME_ISO = " 000$3-$2-$1 $4:$5:00"
+_DMY = (
+    f"^\\+?0*([0-9]{{1,2}})[{WHITESPACE}]*/[{WHITESPACE}]*\\+?0*([0-9]{{1,2}})"
+    f"[{WHITESPACE}]*/[{WHITESPACE}]*\\+?0*([0-9]+)$"
+)
+_DMY_ISO = " 000$3-$2-$1"
+_FOUR_DIGIT_YEAR = r"^ 0*((?!0000)[0-9]{4}-.*)$"
 
 
 def es_timestamp(c: Column | str) -> Column:
     """``13 oct. 2025 14:20`` -> timestamp without zone. Exactly five single-spaced parts."""
-    parts = F.split(F.translate(strip(c), ":", " "), " ", -1)
-    day, month, year, hour, minute = (F.get(parts, F.lit(i)) for i in range(5))
-    stamp = F.try_make_timestamp_ntz(
-        _year(year),
-        F.coalesce(lookup(month, MONTHS), month).try_cast("int"),
-        day.try_cast("int"),
-        hour.try_cast("int"),
-        minute.try_cast("int"),
-        F.lit(0),
+    numeric = reduce(
+        lambda text, month: F.replace(text, F.lit(month[0]), F.lit(month[1])), MONTHS.items(), strip(c)
     )
-    return F.when(F.size(parts) == 5, stamp)
+    iso = F.regexp_replace(numeric, _DATETIME, _DATETIME_ISO)
+    return F.regexp_extract(iso, _FOUR_DIGIT_YEAR, 1).try_cast("timestamp_ntz")
 
 
 def dmy_date(c: Column | str) -> Column:
     """``31/12/2024`` -> date."""
-    parts = F.split(as_column(c), "/", -1)
-    day, month, year = (F.get(parts, F.lit(i)) for i in range(3))
-    midnight = F.lit(0)
-    stamp = F.try_make_timestamp_ntz(
-        _year(year), month.try_cast("int"), day.try_cast("int"), midnight, midnight, midnight
-    )
-    return F.when(F.size(parts) == 3, stamp.cast("date"))
+    iso = F.regexp_replace(strip(c), _DMY, _DMY_ISO)
+    return F.regexp_extract(iso, _FOUR_DIGIT_YEAR, 1).try_cast("date")
 
 
 def description_date(c: Column | str) -> Column:

@@ -47,12 +47,18 @@ def contains_any(c: Column | str, phrases: Sequence[str]) -> Column:
     )
 
 
-def lookup(c: Column | str, mapping: Mapping[str, object]) -> Column:
+def _literal(value: object) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"double('{value}')"
+
+
+def lookup(c: Column | str, mapping: Mapping[str, str | float]) -> Column:
     """Value of a small fixed dictionary, null on a miss. For closed sets of a few entries only."""
-    pairs = [F.lit(item) for pair in mapping.items() for item in pair]
-    return F.try_element_at(F.create_map(*pairs), as_column(c))
+    pairs = ", ".join(f"{_literal(key)}, {_literal(value)}" for key, value in mapping.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), as_column(c))
 
 
 def extract(c: Column | str, pattern: str) -> Column:
-    """First group of the first match, null (not the empty string) without one."""
-    return F.nullif(F.regexp_extract(as_column(c), pattern, 1), F.lit(""))
+    """First group of the first match, the empty string without one."""
+    return F.regexp_extract(as_column(c), pattern, 1)

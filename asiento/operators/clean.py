@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import NamedTuple
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asiento import functions as A
 from asiento.operators.concepts import map_labels
-from asiento.operators.joins import heavy_keys
+from asiento.operators.joins import heavy_keys, split_heavy
 from asiento.operators.keyed import keep_last
 from asiento.schemas import FILING_KEY, position
 
@@ -42,10 +42,38 @@ STATEMENT_COLUMNS = [
 VALUE_COLUMNS = ["company_id", "document_id", "order", "concept", "value"]
 
 
-class CleanTables(NamedTuple):
-    statements: DataFrame
-    statement_values: DataFrame
-    rejects: DataFrame
+class CleanTables:
+    """``statements``, ``statement_values`` and ``rejects`` of a set of raw statements.
+
+    Each table is planned when it is first asked for: planning the values runs small jobs that measure
+    the taxonomy and look for heavy filings.
+    """
+
+    def __init__(
+        self,
+        statements_raw: DataFrame,
+        concepts_raw: DataFrame,
+        taxonomy: DataFrame,
+        unscaled_concepts: Sequence[str] = (),
+    ):
+        self._concepts_raw, self._taxonomy, self._unscaled = concepts_raw, taxonomy, unscaled_concepts
+        self._counts = line_counts(concepts_raw)
+        self._judged = judge_statements(statements_raw, self._counts)
+        self._accepted = accepted_statements(self._judged)
+
+    @cached_property
+    def statements(self) -> DataFrame:
+        return self._accepted.select(*STATEMENT_COLUMNS, "filing_pos", "statement_pos")
+
+    @cached_property
+    def statement_values(self) -> DataFrame:
+        return statement_values(
+            self._concepts_raw, self._counts, self._accepted, self._taxonomy, self._unscaled
+        )
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        return rejected_statements(self._judged)
 
 
 def _required_fields() -> dict[str, Column]:
@@ -118,15 +146,15 @@ def line_counts(concepts_raw: DataFrame) -> DataFrame:
     )
 
 
-def judge_statements(statements_raw: DataFrame, concepts_raw: DataFrame) -> DataFrame:
-    """Parsed statements with all their errors, those of their lines included."""
+def judge_statements(statements_raw: DataFrame, counts: DataFrame) -> DataFrame:
+    """Parsed statements with all their errors, those of their lines (``line_counts``) included."""
 
     def line_error(name: str, count: str) -> Column:
         return F.when(
             F.col(count) > 0, F.concat(F.lit(f"{name}: unreadable lines: "), F.col(count).cast("string"))
         )
 
-    judged = parse_statements(statements_raw).join(line_counts(concepts_raw), FILING_KEY, "left")
+    judged = parse_statements(statements_raw).join(counts, FILING_KEY, "left")
     of_lines = F.array(line_error("value", "bad_amounts"), line_error("id", "bad_orders"))
     return judged.withColumn("errors", F.concat("errors", F.array_compact(of_lines))).drop(
         "n", "bad_amounts", "bad_orders"
@@ -163,6 +191,7 @@ def last_lines(lines: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
 
 def statement_values(
     concepts_raw: DataFrame,
+    counts: DataFrame,
     accepted: DataFrame,
     taxonomy: DataFrame,
     unscaled_concepts: Sequence[str] = (),
@@ -170,26 +199,26 @@ def statement_values(
     """Scaled values of the accepted statements, one row per statement and concept.
 
     Lines are shuffled once, by filing: the aggregation reuses the partitioning of the join. A filing
-    that owns a large share of all lines would then be one task's work, so the few such filings (fewer
-    than ``HEAVY_PARTS`` by arithmetic) go the other way round: aggregated first, with a combine before
+    that owns a large share of all lines would then be one task's work, so such filings (looked for in
+    ``counts``; usually there are none) go the other way round: aggregated first, with a combine before
     the shuffle, and joined by broadcast.
     """
     of_statement = ["document_id", "statement_pos", "unit_multiplier"]
     kept = accepted.select(*FILING_KEY, *of_statement)
-    counts = concepts_raw.groupBy(*FILING_KEY).agg(F.count("*").alias("n"))
-    heavy = F.broadcast(heavy_keys(counts, FILING_KEY))
     lines = map_labels(parse_lines(concepts_raw), taxonomy)
-
-    light = last_lines(
-        lines.join(heavy, FILING_KEY, "left_anti").join(kept, FILING_KEY), of_statement
-    )
-    hot = last_lines(lines.join(heavy, FILING_KEY, "left_semi")).join(
-        F.broadcast(kept.join(heavy, FILING_KEY, "left_semi")), FILING_KEY
-    )
+    heavy = heavy_keys(counts, FILING_KEY)
+    if heavy is None:
+        last = last_lines(lines.join(kept, FILING_KEY), of_statement)
+    else:
+        hot, light = split_heavy(lines, heavy, FILING_KEY)
+        few = F.broadcast(kept.join(F.broadcast(heavy), FILING_KEY, "left_semi"))
+        last = last_lines(light.join(kept, FILING_KEY), of_statement).unionByName(
+            last_lines(hot).join(few, FILING_KEY)
+        )
     scaled = F.col("unit_multiplier") * F.col("amount")
     if unscaled_concepts:
         scaled = F.when(F.col("concept").isin(*unscaled_concepts), F.col("amount")).otherwise(scaled)
-    return light.unionByName(hot).select(
+    return last.select(
         "company_id",
         "document_id",
         "order",
@@ -210,10 +239,4 @@ def clean_statements(
 
     One unreadable field or line sets the whole statement aside; a statement without lines is valid.
     """
-    judged = judge_statements(statements_raw, concepts_raw)
-    accepted = accepted_statements(judged)
-    return CleanTables(
-        accepted.select(*STATEMENT_COLUMNS, "filing_pos", "statement_pos"),
-        statement_values(concepts_raw, accepted, taxonomy, unscaled_concepts),
-        rejected_statements(judged),
-    )
+    return CleanTables(statements_raw, concepts_raw, taxonomy, unscaled_concepts)

@@ -78,11 +78,26 @@ def heavy_keys(
     weight: str = "n",
     parts: int = HEAVY_PARTS,
     min_rows: int = HEAVY_ROWS,
-) -> DataFrame:
-    """Keys owning more than 1/``parts`` of the total weight; there can only be fewer than ``parts``."""
+) -> DataFrame | None:
+    """Keys owning more than 1/``parts`` of the total weight, or None if there are none.
+
+    There can only be fewer than ``parts`` of them, so they are fetched and come back as a local table.
+    This runs one job, on the counts; it is what keeps the common case, no heavy keys, a plain plan.
+    """
     total = weights.agg(F.sum(weight).alias("total")).scalar()
-    is_heavy = (F.col(weight) > F.lit(min_rows)) & (F.col(weight) * parts > total)
-    return weights.filter(is_heavy).select(*keys)
+    is_heavy = (F.col(weight) > min_rows) & (F.col(weight) * parts > total)
+    narrow = weights.select(*keys, weight)
+    rows = narrow.filter(is_heavy).select(*keys).collect()
+    schema = narrow.select(*keys).schema
+    return weights.sparkSession.createDataFrame(rows, schema) if rows else None
+
+
+def split_heavy(
+    df: DataFrame, heavy: DataFrame, keys: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of the heavy keys, and all others."""
+    few = F.broadcast(heavy)
+    return df.join(few, list(keys), "left_semi"), df.join(few, list(keys), "left_anti")
 
 
 def heavy_key_join(
@@ -96,9 +111,9 @@ def heavy_key_join(
 ) -> DataFrame:
     """Equi-join to a side with at most one row per key; ``weights`` holds the left row count per key."""
     keys = list(keys)
-    heavy = F.broadcast(heavy_keys(weights, keys, parts=parts, min_rows=min_rows))
-    light = left.join(heavy, keys, "left_anti").join(right, keys, how)
-    hot = left.join(heavy, keys, "left_semi").join(
-        F.broadcast(right.join(heavy, keys, "left_semi")), keys, how
-    )
-    return light.unionByName(hot)
+    heavy = heavy_keys(weights, keys, parts=parts, min_rows=min_rows)
+    if heavy is None:
+        return left.join(right, keys, how)
+    hot, light = split_heavy(left, heavy, keys)
+    few = right.join(F.broadcast(heavy), keys, "left_semi")
+    return light.join(right, keys, how).unionByName(hot.join(F.broadcast(few), keys, how))

@@ -36,8 +36,17 @@ LABELS = {
 }
 
 
+#: Columns whose values spread the rows of a table evenly.
+KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "pages": "page_id", "documents": "doc_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. One kept in fewer files than there are cores is read by too few tasks: spread it."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in KEYS and len(df.inputFiles()) < cores:
+        return df.repartition(cores, KEYS[name])
+    return df
 
 
 def es_whole(c: Column) -> Column:
@@ -50,80 +59,63 @@ def es_decimal(c: Column) -> Column:
     return F.translate(F.format_number(c, 2), ",.", ".,")
 
 
-def es_moment(c: Column) -> Column:
-    """Timestamp -> ``13 oct. 2025 14:20``"""
-    months = F.array(*[F.lit(name) for name in MONTHS])
-    return F.concat_ws(
-        " ", F.dayofmonth(c).cast("string"), F.element_at(months, F.month(c)), F.date_format(c, "yyyy HH:mm")
-    )
-
-
-def choose(key: Column, *texts: str | None) -> Column:
-    """One of the texts, by the remainder of the key."""
-    choices = F.array(*[F.lit(text) for text in texts])
-    return F.element_at(choices, (key % len(texts) + 1).cast("int"))
-
-
-def quarter_end(c: Column) -> Column:
-    return F.last_day(F.add_months(F.date_trunc("quarter", c), 2))
-
-
-def _description(key: Column, period_end: Column) -> Column:
-    return F.concat(
-        F.when(key % 11 == 0, F.lit("SIN FECHA")).otherwise(
-            F.concat(F.lit("FECHA CIERRE: "), F.date_format(period_end, "yyyy-MM-dd"))
-        ),
-        F.lit(" - PERIODICIDAD: "),
-        choose(key, "TRIMESTRAL", "3", "ANUAL", "IRREGULAR", "anual"),
-        F.lit(" - TIPO BALANCE: "),
-        choose(key, "CONSOLIDADO", "INDIVIDUAL", "INDIVIDUAL"),
-        F.lit(" - NORMA CONTABLE: "),
-        choose(key, "NIIF", "RT", "NORMAS CONTABLES PROFESIONALES", "XX"),
-        F.when(key % 13 == 0, F.lit(" - otros idiomas"))
-        .when(key % 17 == 0, F.lit(" - Relac.: Controlada"))
-        .otherwise(F.lit("")),
-    )
+def _choose(*texts: str) -> str:
+    """One of the texts, by the remainder of the order's key."""
+    choices = ", ".join(f"'{text}'" for text in texts)
+    return f"element_at(array({choices}), cast(k % {len(texts)} as int) + 1)"
+
+
+_MONTHS = ", ".join(f"'{name}'" for name in MONTHS)
+
+#: Filing fields as SQL over the order: k its key, d its day, m its day and minute, q its quarter's end,
+#: n the number of the document.
+FILING_FIELDS = {
+    "orderkey": "k",
+    "company_id": "cast(o_custkey as string)",
+    "filing_pos": "shiftleft(k div 50, 40) + k % 50 + 1",
+    "document_id": "if(k % 2 = 0, translate(format_number(n, 0), ',', '.'), cast(n as string))",
+    "document_description": f"""concat(
+        if(k % 11 = 0, 'SIN FECHA', concat('FECHA CIERRE: ', cast(q as string))),
+        ' - PERIODICIDAD: ', {_choose("TRIMESTRAL", "3", "ANUAL", "IRREGULAR", "anual")},
+        ' - TIPO BALANCE: ', {_choose("CONSOLIDADO", "INDIVIDUAL", "INDIVIDUAL")},
+        ' - NORMA CONTABLE: ', {_choose("NIIF", "RT", "NORMAS CONTABLES PROFESIONALES", "XX")},
+        case when k % 13 = 0 then ' - otros idiomas' when k % 17 = 0 then ' - Relac.: Controlada' else '' end)""",
+    "document_link": "concat('https://filings.example.com/d/', k)",
+    "submission_date": f"""if(k % 37 = 0, '30 feb. 2025 01:02',
+        concat_ws(' ', dayofmonth(m), element_at(array({_MONTHS}), month(m)), date_format(m, 'yyyy HH:mm')))""",
+    "reporting_period": _choose("Trimestral", "anual", "SEMESTRAL", "", "Otro", "irregular"),
+    "period_end_date": """case when k % 7 = 0 then '' when k % 7 = 1 then '31/2/2024'
+        else concat_ws('/', dayofmonth(last_day(d)), month(d), year(d)) end""",
+    "financial_statements_type": _choose("", "Consolidado", "individual", "Combinado"),
+    "presentation_currency": "if(k % 19 > 0, 'Pesos', null)",
+    "unit_of_measure": f"""if(k % 41 = 0, 'miles de $',
+        {_choose("Unit", "$", "Thousands", "Miles de $", "Millions", "Millones de $")})""",
+    "accounting_standards_applied": _choose("NIIF", "rt", ""),
+    "merger_or_demerger_in_process": f"if(k % 43 = 0, 'SI', {_choose('Si', 'Sí', 'No')})",
+    "treasury_shares": _choose("Si", "No"),
+    "insolvency_proceedings": "'No'",
+    "public_offering_of_equity_instruments": "'Sí'",
+    "subscribed_shares_at_period_end": "translate(format_number(floor(o_totalprice), 0), ',', '.')",
+    "equity_share_price_at_period_end": "if(k % 47 = 0, ' ', translate(format_number(o_totalprice, 2), ',.', '.,'))",
+    "price_earnings_ratio": "''",
+    "market_capitalization": "''",
+    "free_float_percentage": "translate(format_number(k % 10000 / 100, 2), ',.', '.,')",
+    "number_of_employees": "if(k % 53 = 0, '12,5', translate(format_number(k % 5000, 0), ',', '.'))",
+}
 
 
 def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``FILINGS_RAW`` plus the 16 form fields, one row per order; ``orderkey`` names the order."""
-    key, day = F.col("o_orderkey"), F.col("o_orderdate")
-    moment = F.timestamp_add("MINUTE", (key % 1440).cast("int"), day)
-    number = F.col("o_custkey") * 8 + key % 8
-    return table(spark, sf_dir, "orders").select(
-        key.alias("orderkey"),
-        F.col("o_custkey").cast("string").alias("company_id"),
-        position(F.floor(key / 50), key % 50 + 1).alias("filing_pos"),
-        F.when(key % 2 == 0, es_whole(number)).otherwise(number.cast("string")).alias("document_id"),
-        _description(key, quarter_end(day)).alias("document_description"),
-        F.concat(F.lit("https://filings.example.com/d/"), key.cast("string")).alias("document_link"),
-        F.when(key % 37 == 0, F.lit("30 feb. 2025 01:02")).otherwise(es_moment(moment)).alias("submission_date"),
-        choose(key, "Trimestral", "anual", "SEMESTRAL", "", "Otro", "irregular").alias("reporting_period"),
-        F.when(key % 7 == 0, F.lit(""))
-        .when(key % 7 == 1, F.lit("31/2/2024"))
-        .otherwise(F.date_format(F.last_day(day), "d/M/yyyy"))
-        .alias("period_end_date"),
-        choose(key, "", "Consolidado", "individual", "Combinado").alias("financial_statements_type"),
-        F.when(key % 19 > 0, F.lit("Pesos")).alias("presentation_currency"),
-        F.when(key % 41 == 0, F.lit("miles de $"))
-        .otherwise(choose(key, "Unit", "$", "Thousands", "Miles de $", "Millions", "Millones de $"))
-        .alias("unit_of_measure"),
-        choose(key, "NIIF", "rt", "").alias("accounting_standards_applied"),
-        F.when(key % 43 == 0, F.lit("SI"))
-        .otherwise(choose(key, "Si", "Sí", "No"))
-        .alias("merger_or_demerger_in_process"),
-        choose(key, "Si", "No").alias("treasury_shares"),
-        F.lit("No").alias("insolvency_proceedings"),
-        F.lit("Sí").alias("public_offering_of_equity_instruments"),
-        es_whole(F.floor("o_totalprice")).alias("subscribed_shares_at_period_end"),
-        F.when(key % 47 == 0, F.lit(" "))
-        .otherwise(es_decimal(F.col("o_totalprice")))
-        .alias("equity_share_price_at_period_end"),
-        F.lit("").alias("price_earnings_ratio"),
-        F.lit("").alias("market_capitalization"),
-        es_decimal((key % 10000) / 100).alias("free_float_percentage"),
-        F.when(key % 53 == 0, F.lit("12,5")).otherwise(es_whole(key % 5000)).alias("number_of_employees"),
+    facts = table(spark, sf_dir, "orders").selectExpr(
+        "o_custkey",
+        "o_totalprice",
+        "o_orderkey as k",
+        "o_orderdate as d",
+        "timestampadd(MINUTE, cast(o_orderkey % 1440 as int), o_orderdate) as m",
+        "last_day(add_months(date_trunc('quarter', o_orderdate), 2)) as q",
+        "o_custkey * 8 + o_orderkey % 8 as n",
     )
+    return facts.selectExpr(*[f"{field} as {name}" for name, field in FILING_FIELDS.items()])
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,55 @@
+"""The plans are the ones meant: where lines are shuffled, what is broadcast, where Python runs."""
+
+import re
+
+import pytest
+
+import asiento as A
+from workload import shapes
+from workload.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+PYTHON_QUERIES = {"page_table_rows", "page_controls"}
+
+
+@pytest.fixture
+def no_auto_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    shapes.filings(spark, SF).write.parquet(f"{tmp_path}/statements")
+    shapes.concepts(spark, SF).write.parquet(f"{tmp_path}/lines")
+    return spark.read.parquet(f"{tmp_path}/statements"), spark.read.parquet(f"{tmp_path}/lines")
+
+
+def test_lines_are_shuffled_once(spark, plan, stored, no_auto_broadcast):
+    statements, lines = stored
+    text = plan(A.clean_statements(statements, lines, shapes.taxonomy(spark)).statement_values)
+    above_join = text[: text.index("SortMergeJoin")]
+    assert "Exchange" not in above_join and above_join.count("HashAggregate") == 2
+    assert len(re.findall("BroadcastHashJoin", text)) == 1
+
+
+def test_only_wanted_columns_are_read(spark, plan, stored):
+    statements, lines = stored
+    text = plan(A.clean_statements(statements, lines, shapes.taxonomy(spark)).statements)
+    schemas = re.findall(r"ReadSchema: (.*)", text)
+    assert not any("market_capitalization" in schema or "label" in schema for schema in schemas)
+
+
+def test_duplicates_need_one_combining_shuffle(spark, plan, stored):
+    text = plan(A.drop_separate_duplicates(stored[0]))
+    assert text.count("Exchange") == 1 and "Window" not in text and "Join" not in text
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_no_single_partition_and_no_python(spark, plan, name):
+    text = plan(QUERIES[name](spark, SF))
+    assert "SinglePartition" not in text
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert not re.search("BatchEvalPython|ArrowEvalPython|PythonRDD", text)
+    assert ("MapInArrow" in text) == (name in PYTHON_QUERIES)

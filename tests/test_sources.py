@@ -1,0 +1,215 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+import asiento as A
+from asiento.schemas import INDEX_ROWS
+from asiento.sources.markup import read_page
+from asiento.sources.pages import INDEX_ROWS_SHAPE, VALUE_PAGER, VALUE_ROWS, parse_pages, wanted_ids
+
+HEADER = "cuit,company_name,ticker,company_description,sector,industry_group,industry,subindustry,subindustry_definition,extra"
+ROWS = """30111111111, Alfa SA ,ALFA,,Energy,,,,,x
+30222222222,Beta SA,,,,,,,,
+,Gamma SA,GAMA,,,,,,,
+30333333333,"   ",DELT,,,,,,,
+,,,,,,,,,
+0012,Epsilon SA,EPSI,,,,,,,
+30444444444,Alfa Dos,ALFA,,,,,,,
+"""
+
+
+def registry(tmp_path, text=f"{HEADER}\n{ROWS}"):
+    path = tmp_path / "companies.csv"
+    path.write_text(text)
+    return str(path)
+
+
+def test_registry(spark, tmp_path):
+    companies, rejects = A.read_registry(spark, registry(tmp_path))
+    rows = companies.orderBy("registry_pos").collect()
+    assert [(row.company_id, row.name, row.ticker) for row in rows] == [
+        ("30444444444", "Alfa Dos", "ALFA"), ("30222222222", "Beta SA", None), ("0012", "Epsilon SA", "EPSI"),
+    ]
+    assert rows[0].sector is None and rows[0].industry is None
+    found = {(row.company_id, tuple(row.errors)) for row in rejects.collect()}
+    assert found == {(None, ("company_id: missing",)), ("30333333333", ("name: missing",))}
+    assert companies.count() == 3
+
+
+def test_registry_mapping_and_errors(spark, tmp_path):
+    path = registry(tmp_path, "id,title,symbol,id\n1,One,A,9\n2,Two,B,8\n")
+    mapping = {"id": "company_id", "title": "name", "symbol": "ticker"}
+    companies, _ = A.read_registry(spark, path, column_mapping=mapping)
+    assert {(row.company_id, row.ticker) for row in companies.collect()} == {("1", "A"), ("2", "B")}
+    with pytest.raises(ValueError, match="cuit.*symbol"):
+        A.read_registry(spark, path)
+    with pytest.raises(FileNotFoundError):
+        A.read_registry(spark, str(tmp_path / "none.csv"))
+
+
+def test_registry_from_parquet_ordered_by_a_column(spark, tmp_path):
+    rows = [(2, "1", "Late", "A"), (1, "1", "Early", "A")]
+    path = str(tmp_path / "registry.parquet")
+    spark.createDataFrame(rows, "line int, cuit string, company_name string, ticker string").write.parquet(path)
+    mapping = {"cuit": "company_id", "company_name": "name", "ticker": "ticker"}
+    companies, _ = A.read_registry(spark, path, "parquet", mapping, row_position="line")
+    assert [row.name for row in companies.collect()] == ["Late"]
+    by_file, _ = A.read_registry(spark, path, "parquet", mapping)
+    assert by_file.count() == 1
+
+
+def test_get_company(spark, tmp_path):
+    companies, _ = A.read_registry(spark, registry(tmp_path))
+    assert A.get_company(companies, "EPSI").first().company_id == "0012"
+    with pytest.raises(ValueError, match="ALFA"):
+        A.get_company(companies, "NONE")
+
+
+def test_listing_request(spark):
+    request = A.listing_request(F.lit("30"), date(2025, 1, 1), date(2026, 3, 1))
+    assert spark.range(1).select(request).first()[0] == "Empresa/30?formType=INFOFI&fdesde=01/01/2025&fhasta=01/03/2026"
+
+
+def index(spark, rows, header=("FECHA ", "HORA", "  ", "DESCRIPCIÓN", "DOCUMENTO", "VER")):
+    full = [(company, 0, i, list(header), cells, hrefs) for company, i, cells, hrefs in rows]
+    return spark.createDataFrame(full, INDEX_ROWS)
+
+
+def line(document, link="u"):
+    return ["1 ene. 2025", "10:00", "-", f"text {document}", document, "Ver"], [None] * 5 + [link]
+
+
+def test_index(spark):
+    rows = [("a", 0, ["h"], []), ("a", 1, *line("1")), ("a", 2, *line("2")), ("b", 1, *line("3")), ("b", 2, *line("4", None)),
+            ("c", 0, ["h"], [])]
+    filings, failed = A.parse_index(index(spark, rows))
+    found = filings.orderBy("filing_pos").collect()
+    assert [tuple(row) for row in found] == [
+        ("a", "1", "text 1", "u", "1 ene. 2025 10:00", 1), ("a", "2", "text 2", "u", "1 ene. 2025 10:00", 2),
+    ]
+    assert [(row.company_id, row.errors) for row in failed.collect()] == [("b", ["index: link missing"])]
+
+
+def test_index_without_a_column(spark):
+    filings, failed = A.parse_index(index(spark, [("a", 1, *line("1"))], ("FECHA", "HORA", "x", "DESCRIPCION", "DOCUMENTO", "VER")))
+    assert filings.count() == 0
+    assert failed.first().errors == ["index: column missing"]
+
+
+PAGE = """<!doctype html><html><head><script>var a = "<input id='v1' value='no'>";</script>
+<style>td > a {}</style></head><body><!-- <input id="v1" value="comment"> -->
+<p>open<br><INPUT ID=v1 type=text VALUE="a &amp; &quot;b&quot;"><input id='v1' value='second'>
+<input id="v2"><input title="x > y" id=v3 value=plain>
+<select id="s1"><option value=1>uno<option value=2 SELECTED>  dos
+ tres </option></select><select id='s2'><option value="x">first</option><option>other</option></select>
+<select id=s3></select><textarea id="t1"> some
+text </textarea>
+<ul class="pagination" entidad="10013" data-paginainicio="1" data-paginafin="3"><li class="active"><a>1</a></li></ul>
+<table entidad="10013"><thead><tr><th>Id</th><th> Label </th></tr></thead>
+<tbody><tr><td>1</td><td>Caja &nbsp; y<br>Bancos</td><td>1,5</td></tr>
+<tr><td>2<td>Ventas <b>netas</b><td><table><tr><td>in</td></tr></table>7</tr></tbody></table>
+<table><tr><td>other</td></tr></table></body></html>"""
+
+
+def test_page_reader():
+    ids = {"v1", "v2", "v3", "s1", "s2", "s3", "t1"}
+    page = read_page("http://x/y", PAGE, ids, [VALUE_ROWS], VALUE_PAGER)
+    found = {(c["element_id"], c["kind"]): c["value"] for c in page.controls}
+    assert found == {
+        ("v1", "value"): 'a & "b"', ("v2", "value"): None, ("v3", "value"): "plain",
+        ("s1", "select"): "dos tres", ("s1", "value"): "2", ("s2", "select"): "first", ("s2", "value"): "x",
+        ("t1", "value"): " some\ntext ",
+    }
+    assert page.pages == (1, 3)
+    assert [(row["section"], row["header"], row["cells"]) for row in page.rows] == [
+        ("thead", ["Id", "Label"], []),
+        ("tbody", ["Id", "Label"], ["1", "Caja y Bancos", "1,5"]),
+        ("tbody", ["Id", "Label"], ["2", "Ventas netas", "in7"]),
+    ]
+
+
+def test_page_reader_on_odd_input():
+    assert read_page(None, None, {"a"}, []).controls == []
+    assert read_page("", "<input id=a value='open", {"a"}, []).controls == []
+    assert read_page("", "<p title=\"x>y\" it's><input id=a value=1>", {"a"}, []).controls[0]["value"] == "1"
+    assert read_page("", "<" * 50_000 + "=" * 50_000, {"a"}, [VALUE_ROWS]).rows == []
+
+
+def test_index_page(spark):
+    html = """<div class="panel-heading"><strong>Otros</strong></div>
+    <table class="table tabla-hechos-relevantes"><tr><td>no</td></tr></table>
+    <div class="panel-heading"><strong> Estados
+    Contables </strong></div><table class="table tabla-hechos-relevantes">
+    <thead><tr><th>FECHA</th><th>HORA</th><th></th><th>DESCRIPCIÓN</th><th>DOCUMENTO</th><th>VER</th></tr></thead>
+    <tbody><tr><td>1 ene. 2025</td><td>10:00</td><td></td><td>text</td><td>1.2</td><td><a href="/doc?id=1&amp;x=2">Ver</a></td></tr></tbody></table>"""
+    pages = spark.createDataFrame([("c", 0, "https://filings.example.com/list/", html)], "company_id string, page_no int, url string, html string")
+    filings, failed = A.parse_index(A.extract_index_rows(pages))
+    assert failed.count() == 0
+    (row,) = filings.collect()
+    assert (row.document_id, row.document_link) == ("1.2", "https://filings.example.com/doc?id=1&x=2")
+    assert row.submission_date == "1 ene. 2025 10:00"
+
+
+def test_links(spark):
+    html = '<a href="/a">One <b>two</b></a> <A class=x href="b?c=1">\n Three\n</A><a name=n>no</a>'
+    pages = spark.createDataFrame([(1, html)], "id int, html string")
+    assert [tuple(row) for row in A.extract_links(pages, ["id"]).orderBy("link_no").collect()] == [
+        (1, 0, "/a", "One two"), (1, 1, "b?c=1", "Three"),
+    ]
+    assert A.extract_links(pages, ["id"], "Three").count() == 1
+
+
+KEYS = ["company_id", "filing_pos", "page_no"]
+SCHEMA = "company_id string, filing_pos long, page_no int, url string, html string"
+
+
+def values_page(first, last, *rows):
+    body = "".join(f"<tr>{''.join(f'<td>{cell}</td>' for cell in row)}</tr>" for row in rows)
+    return (
+        f'<ul class="pagination" entidad="10013" data-paginainicio="{first}" data-paginafin="{last}"></ul>'
+        f'<table entidad="10013"><tbody>{body}</tbody></table>'
+    )
+
+
+def items_of(spark, pages):
+    rows = [(company, pos, page, "", html) for company, pos, page, html in pages]
+    return parse_pages(spark.createDataFrame(rows, SCHEMA), KEYS, wanted_ids(), [VALUE_ROWS], VALUE_PAGER)
+
+
+def test_value_pages(spark):
+    items = items_of(spark, [
+        ("c", 0, 2, values_page(1, 2, ["3", "C", "30"])),
+        ("c", 0, 1, values_page(1, 2, ["1", "A", "10"], ["2", "B", "20"])),
+        ("c", 0, 9, values_page(1, 2, ["9", "Z", "90"])),
+        ("c", 1, 1, "<table entidad='10013'><tbody><tr><td>1</td><td>A</td><td>1</td></tr></table>"),
+        ("c", 2, 1, values_page(1, 2, ["1", "A", "10"])),
+        ("c", 3, 1, values_page(1, 1, ["1", "A"])),
+    ])
+    rows = A.value_rows(items).filter("filing_pos = 0").orderBy("page_no", "row_no").collect()
+    assert [(row.id, row.label, row.value) for row in rows] == [("1", "A", "10"), ("2", "B", "20"), ("3", "C", "30")]
+    assert A.value_rows(items).filter("filing_pos = 1").count() == 0
+    filings = spark.createDataFrame([("c", i, str(i)) for i in range(5)], "company_id string, filing_pos long, document_id string")
+    failed = {row.filing_pos: row.errors for row in A.failed_captures(filings, items).collect()}
+    assert failed == {
+        2: ["capture: page missing"], 3: ["capture: line cut short"], 4: ["capture: missing"],
+    }
+
+
+def test_form_fields(spark):
+    forms = [
+        ("c", 0, 1, '<input id="1date17466" value=" 31/12/2024 "><input id="1textbox16696" value=" "><input id="1decimal20806" value="5">'),
+        ("c", 0, 2, '<input id="1date17466" value="1/1/2020"><select id="1select18889"><option>Anual</option></select>'),
+        ("c", 1, 1, '<input id="1textbox16696" value="7"><input id="1decimal20806" value="5"><input id="1select18889" value="x">'),
+    ]
+    items = items_of(spark, forms)
+    controls = items.select(*KEYS, F.inline("controls"))
+    rows = {row.filing_pos: row for row in A.pivot_fields(controls).collect()}
+    assert (rows[0].period_end_date, rows[0].number_of_employees, rows[0].reporting_period) == ("31/12/2024", "5", "Anual")
+    assert (rows[1].period_end_date, rows[1].number_of_employees, rows[1].reporting_period) == ("", "7", "")
+    pages = spark.createDataFrame([(company, pos, page, "", html) for company, pos, page, html in forms], SCHEMA)
+    assert A.extract_controls(pages, ["1date17466"], KEYS).count() == 2
+
+
+def test_reader_and_shape_agree_with_names():
+    assert INDEX_ROWS_SHAPE.name != VALUE_ROWS.name

@@ -204,7 +204,8 @@ def statement_values(
     the shuffle, and joined by broadcast.
     """
     of_statement = ["document_id", "statement_pos", "unit_multiplier"]
-    kept = accepted.select(*FILING_KEY, *of_statement)
+    # One narrow row per filing: hashed per partition, so that the lines need not be sorted for the join.
+    kept = accepted.select(*FILING_KEY, *of_statement).hint("shuffle_hash")
     lines = map_labels(parse_lines(concepts_raw), taxonomy)
     heavy = heavy_keys(counts, FILING_KEY)
     if heavy is None:

@@ -31,7 +31,7 @@ SEPARATE = "FECHA CIERRE: 2025-03-31 - TIPO BALANCE: INDIVIDUAL"
 
 
 def run(spark, tmp_path, **options):
-    companies, _ = A.read_registry(spark, registry(tmp_path))
+    companies, registry_rejects = A.read_registry(spark, registry(tmp_path))
     alfa, epsilon, beta = "30444444444", "0012", "30222222222"
     index = [
         index_row(alfa, 1, CONSOLIDATED, "1.001", "u1"),
@@ -59,6 +59,7 @@ def run(spark, tmp_path, **options):
         A.taxonomy_table(spark, {"VENTAS": "Sales"}),
         str(tmp_path / "out"),
         config,
+        registry_rejects,
     )
     return report, str(tmp_path / "out")
 
@@ -68,7 +69,7 @@ def test_run(spark, tmp_path):
     counts = {row.company_id: row for row in report.collect()}
     alfa = counts["30444444444"]
     assert (alfa.filings_found, alfa.filings_kept, alfa.filings_removed) == (3, 2, 1)
-    assert (alfa.statements_exported, alfa.values_exported, alfa.fetches_failed) == (2, 2, 0)
+    assert (alfa.statements_exported, alfa.values_exported, alfa.filings_fetched) == (2, 2, 2)
     epsilon = counts["0012"]
     assert (epsilon.fetches_failed, epsilon.statements_rejected, epsilon.statements_exported) == (1, 1, 0)
     assert set(counts) == {"30444444444", "0012"}
@@ -89,7 +90,18 @@ def test_run(spark, tmp_path):
     ]
     assert {row.ticker for row in fields} == {"ALFA"}
     rejects = {(row.company_id, row.stage) for row in spark.read.parquet(f"{out}/rejects").collect()}
-    assert rejects == {("30222222222", "listing"), ("0012", "extract"), ("0012", "clean")}
+    assert rejects == {
+        (None, "registry"), ("30333333333", "registry"), ("30222222222", "listing"), ("0012", "extract"),
+        ("0012", "clean"),
+    }
+
+
+def test_run_with_other_options(spark, tmp_path):
+    _, out = run(spark, tmp_path, duplicates="sequential", exclude=(), fmt="csv", unscaled_concepts=("Sales",))
+    values = spark.read.option("header", True).csv(f"{out}/statement_values").orderBy("pos").collect()
+    assert [(row.concept, row.value) for row in values if row.document_id == "1001"] == [
+        ("Sales", "30.0"), ("Otra", "20000.0"),
+    ]
 
 
 def test_bundle_replaces_its_tickers_only(spark, tmp_path):

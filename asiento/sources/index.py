@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asiento.functions import blank_to_null, dmy_text
+from asiento.operators.filters import filter_by_date
 from asiento.operators.joins import spread_join
 from asiento.schemas import position
 
@@ -33,11 +34,14 @@ def _cell(values: str, header: str) -> Column:
     return F.get(values, F.array_position("_header", header).cast("int") - 1)
 
 
-def parse_index(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parse_index(
+    rows: DataFrame, date_from: date | None = None, date_to: date | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Index rows (schema ``INDEX_ROWS``) to ``(filings, failed_companies)``.
 
     Cells are bound by header. The first row of a page is the header's own. One row without a link or
-    without one of the columns fails its whole company, whatever the other rows hold.
+    without one of the columns fails its whole company, whatever the other rows hold; rows submitted
+    outside the range of days, if one is given, do not count.
     """
     blank = F.lit("column")
     bound = (
@@ -53,7 +57,10 @@ def parse_index(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
             _cell("cells", TIME_HEADER).alias("_time"),
         )
     )
-    needed = ["document_id", "document_description", "_date", "_time"]
+    bound = bound.withColumn("submission_date", F.concat("_date", F.lit(" "), "_time"))
+    if date_from is not None and date_to is not None:
+        bound = filter_by_date(bound, date_from, date_to)
+    needed = ["document_id", "document_description", "submission_date"]
     unreadable = F.lit(False)
     for name in needed:
         unreadable = unreadable | F.col(name).isNull()
@@ -86,7 +93,7 @@ def parse_index(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         "document_id",
         "document_description",
         "document_link",
-        F.concat("_date", F.lit(" "), "_time").alias("submission_date"),
+        "submission_date",
         "filing_pos",
     )
     return filings, failed

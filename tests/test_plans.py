@@ -9,7 +9,8 @@ from workload import shapes
 from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-PYTHON_QUERIES = {"page_table_rows", "page_controls"}
+READER_QUERIES = {"page_table_rows", "page_controls"}
+URL_QUERIES = {"page_links_absolute"}
 
 
 @pytest.fixture
@@ -52,5 +53,6 @@ def test_no_single_partition_and_no_python(spark, plan, name):
     text = plan(QUERIES[name](spark, SF))
     assert "SinglePartition" not in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert not re.search("BatchEvalPython|ArrowEvalPython|PythonRDD", text)
-    assert ("MapInArrow" in text) == (name in PYTHON_QUERIES)
+    assert not re.search("BatchEvalPython|PythonRDD", text)
+    assert ("ArrowEvalPython" in text) == (name in URL_QUERIES)
+    assert ("MapInArrow" in text) == (name in READER_QUERIES)

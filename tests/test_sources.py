@@ -91,6 +91,14 @@ def test_index(spark):
     assert [(row.company_id, row.errors) for row in failed.collect()] == [("b", ["index: link missing"])]
 
 
+def test_index_rows_outside_the_range_do_not_count(spark):
+    rows = [("b", 1, *line("3")), ("b", 2, *line("4", None))]
+    rows[1][2][0] = "1 ene. 2024"
+    filings, failed = A.parse_index(index(spark, rows), date(2025, 1, 1), date(2025, 12, 31))
+    assert [row.document_id for row in filings.collect()] == ["3"]
+    assert failed.count() == 0
+
+
 def test_index_without_a_column(spark):
     filings, failed = A.parse_index(index(spark, [("a", 1, *line("1"))], ("FECHA", "HORA", "x", "DESCRIPCION", "DOCUMENTO", "VER")))
     assert filings.count() == 0
@@ -152,12 +160,20 @@ def test_index_page(spark):
 
 
 def test_links(spark):
-    html = '<a href="/a">One <b>two</b></a> <A class=x href="b?c=1">\n Three\n</A><a name=n>no</a>'
-    pages = spark.createDataFrame([(1, html)], "id int, html string")
+    html = (
+        '<a href="/a">One <b>two</b></a> <A class=x href="b?c=1">\n Three\n</A><a name=n>no</a>'
+        "<a href='../d e'>Four</a><a class=y href=f.html>Five</a><abbr href=no>no</abbr>"
+    )
+    pages = spark.createDataFrame([(1, "https://h.example.com/x/y/z", html)], "id int, url string, html string")
     assert [tuple(row) for row in A.extract_links(pages, ["id"]).orderBy("link_no").collect()] == [
-        (1, 0, "/a", "One two"), (1, 1, "b?c=1", "Three"),
+        (1, 0, "/a", "One two"), (1, 1, "b?c=1", "Three"), (1, 2, "../d e", "Four"), (1, 3, "f.html", "Five"),
     ]
     assert A.extract_links(pages, ["id"], "Three").count() == 1
+    absolute = A.extract_links(pages, ["id"], absolute=True).orderBy("link_no").collect()
+    assert [row.href for row in absolute] == [
+        "https://h.example.com/a", "https://h.example.com/x/y/b?c=1", "https://h.example.com/x/d e",
+        "https://h.example.com/x/y/f.html",
+    ]
 
 
 KEYS = ["company_id", "filing_pos", "page_no"]

@@ -151,7 +151,9 @@ _CLEAN_CHOSEN = f"WITH {_F},{_L},{_CHOSEN},{_JUDGED.format(source='chosen')}"
 
 ORACLE: dict[str, str] = {
     "es_number_parse": """
-SELECT l_linenumber, l_partkey, l_suppkey, l_orderkey AS order_key, l_extendedprice AS price,
+SELECT l_linenumber * 1099511627776 + l_partkey * 1048576 + l_suppkey * 64 + CAST(l_quantity AS BIGINT) AS pos,
+       l_orderkey AS order_key,
+       CASE WHEN l_partkey % 997 > 0 THEN l_extendedprice ELSE -1.0 END AS price,
        -l_quantity AS returned
 FROM lineitem""",
     "es_datetime_parse": f"""
@@ -321,6 +323,15 @@ one AS (
 SELECT page_id, link_no,
        regexp_extract(anchor, '(?is)href="([^"]*)"', 1) AS href,
        trim(regexp_replace(regexp_replace(regexp_extract(anchor, '(?is)^<a\s[^>]*>(.*)</a>$', 1), '<[^>]*>', '', 'g'), '\s+', ' ', 'g')) AS text
+FROM one""",
+    "page_links_absolute": r"""
+WITH one AS (
+  SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"', 1)) AS href,
+         unnest(range(len(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"', 1))))::INTEGER AS link_no
+  FROM pages
+)
+SELECT page_id, link_no,
+       CASE WHEN href LIKE 'http%' THEN href ELSE regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || href END AS href
 FROM one""",
     "page_table_rows": r"""
 WITH lists AS (

@@ -44,14 +44,11 @@ def _filings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def es_number_parse(spark, sf_dir):
-    lines = shapes.table(spark, sf_dir, "lineitem")
-    return lines.select(
-        "l_linenumber",
-        "l_partkey",
-        "l_suppkey",
-        C.es_int(shapes.es_whole(F.col("l_orderkey"))).alias("order_key"),
-        C.es_number(shapes.es_decimal(F.col("l_extendedprice"))).alias("price"),
-        C.es_number(shapes.es_decimal(-F.col("l_quantity"))).alias("returned"),
+    return shapes.raw_lines(spark, sf_dir).select(
+        position("page_no", "row_no").alias("pos"),
+        C.es_int("order_text").alias("order_key"),
+        F.coalesce(C.es_number("value"), F.lit(-1.0)).alias("price"),
+        C.es_number("quantity_text").alias("returned"),
     )
 
 
@@ -295,6 +292,11 @@ def page_links(spark, sf_dir):
     return A.extract_links(shapes.table(spark, sf_dir, "pages"), ["page_id"])
 
 
+def page_links_absolute(spark, sf_dir):
+    pages = shapes.table(spark, sf_dir, "pages")
+    return A.extract_links(pages, ["page_id"], absolute=True).select("page_id", "link_no", "href")
+
+
 def page_table_rows(spark, sf_dir):
     lists = A.RowShape("links", container="ul", row="li", cell="a")
     rows = A.extract_rows(shapes.table(spark, sf_dir, "pages"), [lists], ["page_id"])
@@ -352,6 +354,7 @@ QUERIES: dict[str, Query] = {
         display_format,
         run_report,
         page_links,
+        page_links_absolute,
         page_table_rows,
         page_controls,
     )

@@ -33,7 +33,9 @@ def measured_bytes(df: DataFrame) -> int:
     """Size of a table's values: one small aggregation job."""
 
     def width(name: str, kind: str) -> Column:
-        if kind == "string":
+        if kind.startswith(("array", "map", "struct")):
+            return F.coalesce(F.octet_length(F.to_json(name)), F.lit(0)) + 16
+        if kind in ("string", "binary"):
             return F.coalesce(F.octet_length(name), F.lit(0)) + 16
         return F.lit(16)
 

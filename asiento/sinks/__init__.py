@@ -3,6 +3,7 @@
 from asiento.sinks.bundle import (
     company_metadata,
     display,
+    export_company,
     export_tables,
     statement_metadata,
     statement_values_export,
@@ -10,6 +11,6 @@ from asiento.sinks.bundle import (
 )
 
 __all__ = [
-    "company_metadata", "display", "export_tables", "statement_metadata", "statement_values_export",
+    "company_metadata", "display", "export_company", "export_tables", "statement_metadata", "statement_values_export",
     "write_bundle",
 ]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from asiento.operators.clean import FLAGS
 from asiento.operators.joins import dimension_join
+from asiento.sources.registry import get_company
 
 # Names of the exported company fields, in order.
 COMPANY_EXPORT = {
@@ -119,6 +120,21 @@ def write_bundle(tables: ExportTables, path: str, fmt: str = "parquet") -> None:
         )
 
 
+def export_company(
+    companies: DataFrame,
+    statements: DataFrame,
+    values: DataFrame,
+    ticker: str,
+    path: str,
+    fmt: str = "parquet",
+) -> None:
+    """Write the bundle of one ticker; an error if it is unknown or has no statement."""
+    tables = export_tables(get_company(companies, ticker), statements, values)
+    if tables.company_metadata.isEmpty():
+        raise ValueError(f"{ticker}: no statements to export")
+    write_bundle(tables, path, fmt)
+
+
 def display(df: DataFrame) -> DataFrame:
     """Every column as the text a reader is shown; the stored tables stay typed."""
 

@@ -1,7 +1,10 @@
 from datetime import date
 
+import pytest
+
 import asiento as A
 from asiento.schemas import FILING_PAGES, INDEX_ROWS
+from tests.test_clean import clean
 from tests.test_sources import registry, values_page
 
 FORM = {
@@ -121,6 +124,22 @@ def test_bundle_replaces_its_tickers_only(spark, tmp_path):
         assert {(row.ticker, row.value) for row in found.collect()} == {("A", "new"), ("B", "kept")}
 
 
+def test_export_of_one_company(spark, tmp_path):
+    mapping = {"id": "company_id", "name": "name", "ticker": "ticker"}
+    registered = spark.createDataFrame([("c1", "One", "A", 1), ("c2", "Two", "B", 2)], "id string, name string, ticker string, line int")
+    companies, _ = A.load_registry(registered, "line", mapping)
+    tables = clean(spark, [{}, {"company_id": "c3"}], [(0, "Ventas", "1", "1")])
+    args = (companies, tables.statements, tables.statement_values)
+    out = str(tmp_path / "one")
+    A.export_company(*args, "A", out)
+    assert [row.ticker for row in spark.read.parquet(f"{out}/statement_metadata").collect()] == ["A"]
+    assert [row.value for row in spark.read.parquet(f"{out}/statement_values").collect()] == [1000.0]
+    with pytest.raises(ValueError, match="no statements"):
+        A.export_company(*args, "B", out)
+    with pytest.raises(ValueError, match="no ticker"):
+        A.export_company(*args, "Z", out)
+
+
 def test_display(spark):
     df = spark.sql(
         "select timestamp_ntz'2025-01-02 03:04:05' t, date'2025-01-02' d, 1234567 i, 1234.5D f, true b, 'x' s, "

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import asiento as A
 from asiento.operators.duplicates import flag_separate_duplicates
+from asiento.operators.joins import measured_bytes
 from asiento.schemas import FILINGS_RAW
 
 
@@ -136,6 +137,12 @@ def test_dimension_join_broadcasts_only_what_fits(spark, plan):
     assert sorted(small.collect()) == sorted(large.collect())
 
 
+def test_measured_size(spark):
+    df = spark.createDataFrame([("abc", 1, ["xy"]), (None, None, None)], "s string, n int, a array<string>")
+    assert measured_bytes(df) == 2 * 3 * 16 + 3 + len('["xy"]')
+    assert measured_bytes(df.limit(0)) == 0
+
+
 TAXONOMY = {"VENTAS": "Sales", "CAJA": "Cash"}
 
 

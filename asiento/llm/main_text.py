@@ -40,6 +40,12 @@ _FURNITURE_WORDS = frozenset(
     "navigation topbar footer masthead header comment comments disqus respond reply replies pagination pager toolbar "
     "login search skip complementary contentinfo copyright disclaimer".split()
 )
+#: What the start of an item or cell ends, if it is still open within the same list or table.
+_ENDS = {
+    "li": ("li",), "option": ("option",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",),
+    "td": ("td", "th"), "th": ("td", "th"),
+}
+_SCOPES = frozenset("ul ol menu dl table select article main body div section".split())
 _REST = frozenset("with has no without is".split())
 _TAG = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)|!--|[!?/])")
 _TAG_END = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
@@ -71,6 +77,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     pieces: list[str] = []
     linked, links, articles = 0, 0, 0
     open_: list[tuple[str, bool]] = []  # open elements and whether each began a stretch of furniture
+    counts: dict[str, int] = {}  # how many elements of a name are open
     skipping, seen = 0, False
 
     def flush() -> None:
@@ -87,6 +94,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         nonlocal skipping, articles, links
         while len(open_) > at:
             name, began = open_.pop()
+            counts[name] -= 1
             skipping -= began
             articles -= name in ("article", "main")
             links -= name == "a"
@@ -128,9 +136,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if name in _BLOCKS:
             flush()
         if closing:
-            depth = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), None)
-            if depth is not None:
-                close(depth)
+            if counts.get(name):
+                close(next(i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name))
             continue
         if name in _RAW:
             stop = low.find(f"</{name}", at)
@@ -140,16 +147,20 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             add(" ")
         if name in _VOID:
             continue
-        if name in ("p", "li", "option", "dt", "dd", "tr", "td", "th"):  # may be left open
-            for i in range(len(open_) - 1, max(len(open_) - 4, -1), -1):
-                if open_[i][0] == name:
+        if name in _BLOCKS:  # ends a paragraph that was left open, and an item or cell ends the last one
+            ends = _ENDS.get(name, ("p",))
+            for i in range(len(open_) - 1, -1, -1) if any(map(counts.get, ends)) else ():
+                if open_[i][0] in ends:
                     close(i)
                     break
+                if open_[i][0] in (_SCOPES if name in _ENDS else _BLOCKS):
+                    break
         began = _furniture(name, attributes, articles > 0)
         if name in ("article", "main") and not began and skipping and not any(n == "section" and b for n, b in open_):
             # Furniture that was left open ends where the article begins.
             close(next(i for i, (_, b) in enumerate(open_) if b))
         open_.append((name, began))
+        counts[name] = counts.get(name, 0) + 1
         skipping += began
         articles += name in ("article", "main")
         links += name == "a"

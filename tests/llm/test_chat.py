@@ -1,0 +1,68 @@
+import hashlib
+import json
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from asiento.llm import chat as C
+
+TEXT = st.text(alphabet="ab<|>/\\[]INST turned_s\né", max_size=40) | st.sampled_from([*C.CONTROLS, C.END[:-1], "\\", "\\\\<"])
+
+
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "a\nb\\", ""]) | TEXT, TEXT), max_size=6))
+@settings(max_examples=400, deadline=None)
+def test_round_trip(turns):
+    formatted, spans = C.format_turns(turns)
+    assert C.parse_turns(formatted) == turns
+    assert [C.unescape(formatted[a:b]) for a, b in spans] == [text for role, text in turns if role == "assistant"]
+    assert formatted.count(C.START) == formatted.count(C.END) == len(turns)
+
+
+@given(TEXT)
+def test_no_control_string_survives(text):
+    assert C.unescape(C.escape(text)) == text and not any(control in C.escape(text) for control in C.CONTROLS)
+
+
+RECORDS = {
+    "prompt": {"prompt": "q", "completion": "a"},
+    "prompt_response": {"prompt": "q", "response": "a"},
+    "instruction": {"output": "a", "instruction": "q"},
+    "instruction_input": {"instruction": "q", "input": "", "output": "a"},
+    "messages": {"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]},
+    "nested_messages": {"chat": {"messages": [{"content": "q", "role": "user"}, {"role": "assistant", "content": "a"}]}},
+    "conversations": {"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]},
+}
+
+
+def test_layouts_are_told_by_their_paths(spark):
+    rows = [(i, json.dumps(record), "x") for i, record in enumerate(RECORDS.values())]
+    rows += [(90, None, "x"), (91, "", "x"), (92, "{broken", "x"), (93, '{"prompt": "q"}', None), (94, '{"messages": []}', "x")]
+    rows += [(95, '{"prompt": null, "completion": 7}', "x"), (None, rows[0][1], "x"), (0, rows[0][1], "x")]
+    df = spark.createDataFrame(rows, "id long, record string, layout string")
+    got = sorted(C.format_chats(df).collect(), key=lambda r: -1 if r.id is None else r.id)
+    assert [r.layout for r in got[3:9]] == list(RECORDS)[1:] and got[1].formatted == got[2].formatted == got[0].formatted
+    wanted = [("user", "q"), ("assistant", "a")]
+    assert all(C.parse_turns(r.formatted) == wanted for r in got[:9])
+    assert [(r.layout, r.formatted) for r in got[9:13]] == [(None, "")] * 4
+    assert got[13].layout == "messages" and got[13].formatted == ""
+    assert C.parse_turns(got[14].formatted) == [("user", ""), ("assistant", "7")]
+    back = {r.id: r for r in C.read_back(C.format_chats(df)).collect()}
+    assert back[1].n_turns == 2 and back[1].turns_sha256 == hashlib.sha256(b"user\nq\nassistant\na\n").hexdigest()
+    assert C.format_chats(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6, 400])
+def test_tables_of_turns(spark, n):
+    rows = [(1, n - i, ["user", "assistant", "system"][i * i % 3], f"t{i}" * (i % 7)) for i in range(n)]
+    rows += [(2, 1, "assistant", "b"), (2, 0, "user", "x</s>y"), (3, 2, "assistant", "r"), (3, 1, "user", "q"), (3, 0, "system", "s")]
+    rows += [(None, None, None, None), (4, 5, "gpt", "z"), (4, 5, "gpt", "z"), (4, 5, "human", "y")]
+    df = spark.createDataFrame([(*row, 0) for row in rows], "conv_id long, turn long, role string, text string, said int")
+    records = C.conversation_records(df)
+    got = {r.id: r for r in C.read_back(C.format_chats(records)).collect()}
+    for conv in (1, 2, 3, 4, None):
+        turns = sorted((t if t is not None else -1, role or "", text or "") for c, t, role, text in rows if c == conv)
+        digest = hashlib.sha256("".join(f"{role}\n{text}\n" for _, role, text in turns).encode()).hexdigest()
+        loss = "".join(text for _, role, text in turns if role == "assistant")
+        assert (got[conv].n_turns, got[conv].turns_sha256, got[conv].loss_chars) == (len(turns), digest, len(loss))
+        assert got[conv].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()

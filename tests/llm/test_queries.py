@@ -1,0 +1,71 @@
+"""The registered queries on whole small tables, against brute force and SQL."""
+
+import hashlib
+
+import duckdb
+import pyarrow.parquet as pq
+import pytest
+
+import corpus_pipeline
+from asiento.llm import byte_bpe, queries
+from asiento.llm.common import free_name
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def documents():
+    return {r["doc_id"]: r for r in pq.read_table(f"{SF}/documents.parquet").to_pylist()}
+
+
+@pytest.mark.parametrize("name", list(queries.QUERIES))
+def test_runs(spark, name):
+    df = queries.QUERIES[name](spark, SF)
+    assert df.columns and df.collect()
+
+
+@pytest.mark.parametrize("name", ["op5_lm_scoring", "op6_line_dedup", "op7_byte_bpe", "op9_toxicity", "op10_simhash_near_dedup"])
+def test_one_row_per_document(spark, documents, name):
+    assert sorted(r.doc_id for r in queries.QUERIES[name](spark, SF).collect()) == sorted(documents)
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLE))
+def test_sql(spark, name):
+    db = duckdb.connect()
+    for table in ("documents", "pages", "benchmark"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    df = queries.QUERIES[name](spark, SF)
+    columns = ", ".join(df.columns)
+    wanted = db.execute(f"SELECT {columns} FROM ({queries.ORACLE[name]})").fetchall()
+    assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, wanted))
+
+
+def test_decoding_gives_the_texts(spark, documents):
+    for r in queries.op7_byte_bpe(spark, SF).collect():
+        assert r.decoded_sha256 == hashlib.sha256((documents[r.doc_id]["text"] or "").encode()).hexdigest()
+
+
+def test_pipeline_is_its_stages(spark, documents):
+    docs, sizes = spark.read.parquet(f"{SF}/documents.parquet"), []
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        before, docs = docs, stage(spark, docs, SF)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        sizes.append(docs.count())
+        if number < len(corpus_pipeline.STAGES) - 1:
+            assert docs.columns == before.columns
+    assert sizes[0] < len(documents) and sizes[1] == sizes[0] and sizes[2] <= sizes[1] and sizes[4] == sizes[3] > 0
+    once = {r.doc_id: r.ids_sha256 for r in docs.collect()}
+    assert {r.doc_id: r.ids_sha256 for r in corpus_pipeline.run(spark, SF).collect()} == once
+    path, pattern = queries.tokenizer()
+    codec = byte_bpe.codec(path, pattern)
+    assert all(codec.decode(r.ids) is not None for r in docs.limit(5).collect())
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_take_an_empty_table(spark, number):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    assert corpus_pipeline.STAGES[number][1](spark, docs, SF).collect() == []
+
+
+def test_free_names():
+    assert free_name(["a", "Score", "score_2"], "score") == "score_3" and free_name([], "x") == "x"

@@ -70,10 +70,10 @@ def drop_boilerplate(
     if measured_bytes(found) <= BROADCAST_BYTES:
         joined = pages.join(F.broadcast(found), F.col(host) == F.col(key), "left")
     else:  # too many hosts to send to all: the few lines of a host are repeated, so a hot host is spread
-        salt = free_name([*pages.columns, key, lines], "salt")
+        salt, other = (free_name([*pages.columns, key, lines], name) for name in ("salt", "other_salt"))
         spread = pages.withColumn(salt, F.pmod(F.xxhash64(text), F.lit(64)))
-        salted = found.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(63))))
-        joined = spread.join(salted, (F.col(host) == F.col(key)) & (F.col(salt) == F.col("s")), "left").drop(salt, "s")
+        salted = found.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(63))))
+        joined = spread.join(salted, (F.col(host) == F.col(key)) & (F.col(salt) == F.col(other)), "left")
     parts = _lines(F.col(text))
     kept = F.filter(parts, lambda line: ~F.array_contains(F.col(lines), _digest(F.trim(line))))
     left = free_name([*pages.columns, key, lines, count], "left_lines")

@@ -131,7 +131,7 @@ ORACLE = {
             WHERE n >= {line_dedup.LEAST_PAGES} AND n > {line_dedup.RATIO} * total GROUP BY source
         ), cut AS (
             SELECT doc_id, source, text, string_split(text, chr(10)) AS parts,
-                list_filter(string_split(text, chr(10)), x -> NOT list_contains(lines, trim(x, ' '))) AS kept,
+                list_filter(string_split(text, chr(10)), lambda x: NOT list_contains(lines, trim(x, ' '))) AS kept,
                 lines
             FROM documents LEFT JOIN boilerplate USING (source)
         )

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import cache
 from itertools import accumulate, chain
 
@@ -120,17 +120,28 @@ def tokenize(
     stride: int = STRIDE,
     overlap: int = OVERLAP,
 ) -> DataFrame:
-    """``id_column, ids``: the token ids of the whole text of every row; a null text is empty, with no id.
+    """``id_column, ids, n_tokens, ids_sha256, decoded_sha256`` of the whole text of every row.
 
-    ``path`` names a rank file that every executor can open. Rows that share an id stay apart, rows with a
-    null id are kept, further columns are ignored. A text of one chunk is encoded where it is; only the
-    chunks of longer ones are shuffled.
+    ``ids_sha256`` is of the decimal ids joined by a space, ``decoded_sha256`` of the bytes that decoding
+    the ids gives. A null text is empty, with no id. Rows that share an id stay apart, rows with a null id
+    are kept, further columns are ignored. ``path`` names a rank file that every executor can open. A text
+    of one chunk is encoded where it is; only the chunks of longer ones are shuffled.
     """
 
+    def encoded(ids_of_rows: list, pieces_of_rows: Iterable[Sequence[str]]) -> pa.RecordBatch:
+        c, out = codec(path, pattern), ([], [], [], [])
+        for pieces in pieces_of_rows:
+            ids = c.encode_pieces(pieces)
+            digests = hashlib.sha256(c.digits(ids).encode()), hashlib.sha256(c.decode(ids))
+            for column, value in zip(out, (ids, len(ids), *(d.hexdigest() for d in digests)), strict=True):
+                column.append(value)
+        kinds = pa.list_(pa.int32()), pa.int64(), pa.string(), pa.string()
+        arrays = [pa.array(ids_of_rows, pa.int64()), *(pa.array(v, k) for v, k in zip(out, kinds, strict=True))]
+        return pa.RecordBatch.from_arrays(arrays, ["id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
+
     def whole(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
-        ids = [c.encode_pieces(c.pieces(t.as_py())) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names)
+        yield encoded(batch.column(0).to_pylist(), (c.pieces(t.as_py()) for t in batch.column(1)))
 
     def chunked(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
@@ -139,11 +150,11 @@ def tokenize(
 
     def stitched(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
-        for id_, chunks in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-            ids = c.encode_pieces(stitch(c, [(x["at"], x["part"], x["ends"]) for x in chunks]))
-            yield pa.RecordBatch.from_arrays([pa.array([id_.as_py()], pa.int64()), pa.array([ids], pa.list_(pa.int32()))], names)
+        for id_, chunks in zip(batch.column(0), batch.column(1), strict=True):
+            parts = [(x["at"].as_py(), x["part"].as_py(), x["ends"].values.to_numpy().tolist()) for x in chunks]
+            yield encoded([id_.as_py()], [stitch(c, parts)])
 
-    names, schema = ["id", "ids"], "id long, ids array<int>"
+    schema = "id long, ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string"
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(text, F.lit("")).alias("text"))
     long = F.char_length("text") > stride + overlap
     short = map_batches(rows.filter(~long), whole, schema)
@@ -160,22 +171,4 @@ def tokenize(
     )
     grouped = parts.groupBy("id", "row").agg(F.sort_array(F.collect_list(F.struct("at", "part", "ends"))).alias("chunks"))
     stitched_rows = map_batches(grouped.select("id", "chunks"), stitched, schema)
-    return short.unionByName(stitched_rows).select(F.col("id").alias(id_column), "ids")
-
-
-def with_digests(tokens: DataFrame, path: str, pattern: str, id_column: str = "doc_id") -> DataFrame:
-    """``tokens`` with what a check needs: ``n_tokens``, and SHA-256 of the ids and of the decoded bytes."""
-
-    def digest(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        c = codec(path, pattern)
-        n, first, second = [], [], []
-        for item in batch.column(1):
-            ids = item.values.to_numpy().tolist()
-            n.append(len(ids))
-            first.append(hashlib.sha256(c.digits(ids).encode()).hexdigest())
-            second.append(hashlib.sha256(c.decode(ids)).hexdigest())
-        added = [pa.array(n, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *added], [id_column, "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    schema = f"`{id_column}` long, ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_batches(tokens.select(id_column, "ids"), digest, schema)
+    return short.unionByName(stitched_rows).withColumnRenamed("id", id_column)

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text handled by one call of the array code, in bytes; one longer text is handled alone.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
+#: Rows of an Arrow batch, in place of Spark's 10,000: texts are long, and two batches a task are held at once.
+BATCH_ROWS = 500
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -111,7 +113,15 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.
         for batch in batches:
             yield from function(batch)
 
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after making the session's Arrow batches small unless their size was set by hand."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, str(BATCH_ROWS))
+    return df
 
 
 def free_name(columns: list[str], wanted: str) -> str:

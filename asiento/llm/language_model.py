@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asiento.llm.common import free_name, hashed_words, map_batches, stored, text_blocks
+from asiento.llm.common import free_name, hashed_words, map_batches, small_batches, stored, text_blocks
 
 #: Frequent words that are units of their own, groups of the others, words whose counts are kept.
 FREQUENT, GROUPS, KEPT_WORDS = 64, 32, 50_000
@@ -196,7 +196,7 @@ def train_network(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", r
                 ["at", "value", "n"],
             )
 
-        parts = docs.select(text).mapInArrow(learn, "at long, value double, n long")
+        parts = small_batches(docs.select(text)).mapInArrow(learn, "at long, value double, n long")
         mean = parts.filter("n > 0").groupBy("at").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("value"))
         rows = mean.collect()  # as many rows as the network has weights
         if rows:

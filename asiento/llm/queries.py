@@ -66,8 +66,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = tokenizer()
-    tokens = byte_bpe.tokenize(_table(spark, sf_dir, "documents"), path, pattern)
-    return byte_bpe.with_digests(tokens, path, pattern).drop("ids")
+    return byte_bpe.tokenize(_table(spark, sf_dir, "documents"), path, pattern).drop("ids")
 
 
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +120,7 @@ ORACLE = {
     "op6_line_dedup": f"""
         WITH lines AS (
             SELECT source, unnest(list_distinct(list_filter(
-                list_transform(string_split(text, chr(10)), x -> trim(x, ' ')), x -> x <> ''))) AS line
+                list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> ''))) AS line
             FROM documents WHERE source IS NOT NULL
         ), totals AS (SELECT source, count(*) AS total FROM documents WHERE source IS NOT NULL GROUP BY source),
         boilerplate AS (

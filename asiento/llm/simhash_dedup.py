@@ -31,6 +31,8 @@ SEGMENTS = (22, 21, 21)
 KEY_BLOCK = 4096
 #: Runs of equal keys up to this length are compared together, row by shifted row.
 _FEW = 16
+#: Sorted rows that are looked through together.
+_ROWS_AT_ONCE = 1 << 15
 #: Shingles hashed at a time.
 _HASH_BLOCK = 1 << 16
 #: Generator polynomial of the binary Golay code, x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
@@ -157,14 +159,21 @@ def _grouped(schema_names: list[str], block, width: int, few=None):
                 out.extend(block(rows[bounds[i] : bounds[i + 1]]))
             return rows[bounds[last] :]
 
+        waiting, n = [], 0
         for batch in batches:
-            rows = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-            carried = flush(rows if carried is None else np.concatenate([carried, rows]), False)
+            waiting.append(np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
+            n += batch.num_rows
+            if n < _ROWS_AT_ONCE:
+                continue
+            carried = flush(np.concatenate([*([] if carried is None else [carried]), *waiting]), False)
+            waiting, n = [], 0
             if out:
                 yield _batch(np.concatenate(out), schema_names)
                 out.clear()
-        if carried is not None and len(carried):
-            flush(carried, True)
+        if carried is not None:
+            waiting.insert(0, carried)
+        if waiting and sum(map(len, waiting)):
+            flush(np.concatenate(waiting), True)
             if out:
                 yield _batch(np.concatenate(out), schema_names)
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from asiento.llm.common import free_name, hashed_words, map_batches, text_blocks
+from asiento.llm.common import free_name, hashed_words, map_batches, small_batches, text_blocks
 
 #: Bounds of the training sample: confirmed toxic texts and unlabelled texts.
 POSITIVES, UNLABELLED = 3000, 9000
@@ -93,7 +93,7 @@ def _feature_counts(sample: DataFrame) -> DataFrame:
                     [pa.array(features.view(np.int64)), *map(pa.array, counts)], ["feature", "p", "u"]
                 )
 
-    parts = sample.select("text", "y").mapInArrow(count, "feature long, p long, u long")
+    parts = small_batches(sample.select("text", "y")).mapInArrow(count, "feature long, p long, u long")
     return parts.groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
 
 

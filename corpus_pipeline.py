@@ -37,9 +37,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, ids, n_tokens, decoded_sha256`` of every document that is left."""
-    path, pattern = tokenizer()
-    return byte_bpe.with_digests(byte_bpe.tokenize(docs, path, pattern), path, pattern)
+    """``doc_id, ids, n_tokens, ids_sha256, decoded_sha256`` of every document that is left."""
+    return byte_bpe.tokenize(docs, *tokenizer())
 
 
 STAGES = [

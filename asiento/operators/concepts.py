@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from asiento.operators.joins import dimension_join
 from asiento.schemas import TAXONOMY
+from asiento.sources.tables import scan
 
 
 def taxonomy_table(spark: SparkSession, pairs: Mapping[str, str]) -> DataFrame:
@@ -17,15 +18,21 @@ def taxonomy_table(spark: SparkSession, pairs: Mapping[str, str]) -> DataFrame:
 
 
 def read_taxonomy(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """A taxonomy from a table with the columns ``source_label`` and ``concept``.
+    """A taxonomy from a table with the columns ``source_label`` and ``concept``, found by their headers."""
+    source, names = scan(spark, path, fmt)
+    missing = set(TAXONOMY.names) - set(names)
+    if missing:
+        raise ValueError(f"columns missing from the taxonomy: {sorted(missing)}; it has: {sorted(names)}")
+    taxonomy = source.select(*[F.col(f"`{names[name]}`").cast("string").alias(name) for name in TAXONOMY.names])
+    check_taxonomy(taxonomy)
+    return taxonomy
+
 
-    A label listed twice would double every line it maps, so it is an error.
-    """
-    taxonomy = spark.read.format(fmt).schema(TAXONOMY).option("header", True).load(path)
+def check_taxonomy(taxonomy: DataFrame) -> None:
+    """A label listed twice would double every line it maps, so it is an error."""
     doubled = taxonomy.groupBy("source_label").count().filter("count > 1").limit(10).collect()
     if doubled:
         raise ValueError(f"labels listed more than once: {[row.source_label for row in doubled]}")
-    return taxonomy
 
 
 def map_labels(

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from asiento.functions import blank_to_null
 from asiento.operators.keyed import keep_last
 from asiento.schemas import COMPANY_FIELDS
+from asiento.sources.tables import scan
 
 # Column of the source -> company field.
 COLUMN_MAPPING = {
@@ -34,38 +33,27 @@ def read_registry(
     fmt: str = "csv",
     column_mapping: Mapping[str, str] | None = None,
     row_position: str | None = None,
+    multi_line: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Read a registry; returns ``(companies, rejects)``.
 
+    Columns are bound by the header of each file. ``multi_line`` allows line ends within quoted CSV fields.
+
     ``row_position`` names a source column that orders the rows. Without it their order in the file
     counts: file, block of the file, and row within the block.
     """
     try:
-        source, names = _scan(spark, path, fmt)
+        source, names = scan(spark, path, fmt, multi_line)
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no registry at {path}") from problem
         raise
+    if row_position is not None and row_position not in names:
+        raise ValueError(f"no column {row_position!r} to order the registry by; it has: {sorted(names)}")
     order = F.col(f"`{names[row_position]}`") if row_position else _order_in_files()
     return load_registry(source, order, column_mapping, names)
 
 
-def _scan(spark: SparkSession, path: str, fmt: str) -> tuple[DataFrame, dict[str, str]]:
-    """The source and, for each header, the column that holds it (the first, if it is repeated)."""
-    if fmt == "csv":
-        # Spark renames repeated headers, and a scan without a schema would infer one.
-        first = spark.read.text(path).first()
-        header = next(csv.reader([first.value.lstrip("﻿")])) if first else []
-        columns = [f"c{i}" for i in range(len(header))]
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-        source = spark.read.schema(schema).option("header", True).csv(path) if header else None
-        if source is None:
-            raise ValueError(f"no header in {path}")
-        return source, dict(zip(reversed(header), reversed(columns), strict=True))
-    source = spark.read.format(fmt).load(path)
-    return source, {name: name for name in source.columns}
-
-
 def _order_in_files() -> Column:
     # The running number only orders rows of one block, which one task reads from top to bottom.
     return F.struct(

@@ -199,7 +199,7 @@ def statement_values(
     """Scaled values of the accepted statements, one row per statement and concept.
 
     Lines are shuffled once, by filing: the aggregation reuses the partitioning of the join. A filing
-    that owns a large share of all lines would then be one task's work, so such filings (looked for in
+    with more lines than a task takes easily would then be one task's work, so such filings (looked for in
     ``counts``; usually there are none) go the other way round: aggregated first, with a combine before
     the shuffle, and joined by broadcast.
     """

@@ -1,11 +1,13 @@
 """Joins that hold when one key owns a large share of the rows.
 
-Three situations, three ways:
+Four situations, four ways:
 
 * a side given from outside that should be small (a registry, a dictionary): it is measured, and
   broadcast only if it fits -> :func:`dimension_join`;
 * a side that is small next to the other but not known to fit: each of its rows is repeated over a few
   salts, so a hot key is spread over as many tasks -> :func:`spread_join`;
+* a side whose rows are too wide to move (stored pages): its rows are filtered in place by a bounded table
+  of key bits, made narrow, and only then joined -> :func:`prefilter`;
 * a side about as large as the other, with the number of rows per key at hand: the few heavy keys are
   joined by broadcast, the rest by a plain shuffle -> :func:`heavy_key_join`.
 """
@@ -21,11 +23,11 @@ from pyspark.sql import functions as F
 
 #: Largest side sent to every executor, in bytes of text and fixed-width values.
 BROADCAST_BYTES = 64 * 1024 * 1024
+#: Most bits of a table that filters keys: 2^20 words of 64 bits, 16 MB.
+FILTER_SLOTS = 1 << 26
 #: Tasks a hot key is spread over by a salted join.
 SALTS = 16
-#: A key is heavy when it owns more than 1/HEAVY_PARTS of all rows, hence fewer than HEAVY_PARTS are.
-HEAVY_PARTS = 1000
-#: ... and more rows than one task takes easily, so small inputs have no heavy keys.
+#: A key with more rows than this, which one task takes easily, is heavy.
 HEAVY_ROWS = 1_000_000
 
 
@@ -74,24 +76,38 @@ def dimension_join(
     return spread_join(left, right, keys, spread_by, how)
 
 
+def prefilter(left: DataFrame, right: DataFrame, keys: Sequence[str], max_slots: int = FILTER_SLOTS) -> DataFrame:
+    """Rows of ``left`` whose key may be among those of ``right``, without a shuffle of ``left``.
+
+    The keys of ``right`` are hashed to the bits of a table of words, about 16 bits to a key, which is
+    sent to every executor. It never has more than ``max_slots`` bits, however many keys there are: then
+    more rows pass. Those that pass by chance fall out of the exact join that follows.
+    """
+    slots = 1 << 10
+    while slots < min(max_slots, 16 * right.count()):
+        slots *= 2
+    slot = F.xxhash64(*keys).bitwiseAND(F.lit(slots - 1))
+    bit = F.expr("shiftleft(1L, cast(_slot & 63 as int))")
+    marked = right.select(slot.alias("_slot")).select(word_of("_slot").alias("_word"), bit.alias("_bit"))
+    words = marked.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    probed = left.withColumn("_slot", slot).withColumn("_word", word_of("_slot"))
+    found = probed.join(F.broadcast(words), "_word").filter(F.col("_bits").bitwiseAND(bit) != 0)
+    return found.select(*left.columns)
+
+
+def word_of(slot: str) -> Column:
+    return F.shiftright(slot, 6)
+
+
 def heavy_keys(
-    weights: DataFrame,
-    keys: Sequence[str],
-    weight: str = "n",
-    parts: int = HEAVY_PARTS,
-    min_rows: int = HEAVY_ROWS,
+    weights: DataFrame, keys: Sequence[str], weight: str = "n", min_rows: int = HEAVY_ROWS
 ) -> DataFrame | None:
-    """Keys owning more than 1/``parts`` of the total weight, or None if there are none.
+    """Keys of more than ``min_rows`` rows, or None if there are none (one job, on the counts).
 
-    There can only be fewer than ``parts`` of them, so they are fetched and come back as a local table.
-    This runs one job, on the counts; it is what keeps the common case, no heavy keys, a plain plan.
+    There is at most one for every ``min_rows`` rows, so the table is small next to what it counts.
     """
-    total = weights.agg(F.sum(weight).alias("total")).scalar()
-    is_heavy = (F.col(weight) > min_rows) & (F.col(weight) * parts > total)
-    narrow = weights.select(*keys, weight)
-    rows = narrow.filter(is_heavy).select(*keys).collect()
-    schema = narrow.select(*keys).schema
-    return weights.sparkSession.createDataFrame(rows, schema) if rows else None
+    heavy = weights.filter(F.col(weight) > min_rows).select(*keys)
+    return None if heavy.isEmpty() else heavy
 
 
 def split_heavy(
@@ -108,12 +124,11 @@ def heavy_key_join(
     keys: Sequence[str],
     weights: DataFrame,
     how: str = "inner",
-    parts: int = HEAVY_PARTS,
     min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Equi-join to a side with at most one row per key; ``weights`` holds the left row count per key."""
     keys = list(keys)
-    heavy = heavy_keys(weights, keys, parts=parts, min_rows=min_rows)
+    heavy = heavy_keys(weights, keys, min_rows=min_rows)
     if heavy is None:
         return left.join(right, keys, how)
     hot, light = split_heavy(left, heavy, keys)

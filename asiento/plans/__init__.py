@@ -1,6 +1,6 @@
 """Whole jobs made of the operators."""
 
-from asiento.plans.batch import RunConfig, run
+from asiento.plans.batch import ExportError, RunConfig, run
 from asiento.plans.report import run_report
 
-__all__ = ["RunConfig", "run", "run_report"]
+__all__ = ["ExportError", "RunConfig", "run", "run_report"]

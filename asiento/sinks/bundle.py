@@ -95,29 +95,64 @@ def export_tables(companies: DataFrame, statements: DataFrame, values: DataFrame
 
 
 def write_bundle(tables: ExportTables, path: str, fmt: str = "parquet") -> None:
-    """Write the tables below ``path``, replacing the tickers they hold and no others.
+    """Write the tables below ``path``, replacing the tickers of ``company_metadata`` and no others.
 
+    A ticker without rows in one of the tables has none there afterwards, whatever was written before.
     Rows are in order: statements as first listed, values as first listed in their statement. Ranges
-    of that order, not whole tickers, are distributed, so a large ticker is written by many tasks.
+    of that order, not whole tickers, are distributed, so a large ticker is written by many tasks. A table
+    that cannot be written does not keep the others from being written; the first problem is raised then.
     """
     orders = {
         "company_metadata": ["field_pos"],
         "statement_metadata": ["statement_pos"],
         "statement_values": ["statement_pos", "pos"],
     }
+    tickers, problem = tables.company_metadata.select("ticker").distinct(), None
     for name, table in tables._asdict().items():
         order = ["ticker", "company_id", *orders[name]]
-        (
-            table.repartitionByRange(*order)
-            .sortWithinPartitions(*order)
-            .write.format(fmt)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("maxRecordsPerFile", FILE_ROWS)
-            .option("header", True)
-            .partitionBy("ticker")
-            .save(f"{path}/{name}")
-        )
+        try:
+            write_partitions(table, f"{path}/{name}", "ticker", tickers, order, fmt)
+        except Exception as failed:  # the other tables are written before it is raised
+            failed.add_note(f"table {name}")
+            problem = problem or failed
+    if problem is not None:
+        raise problem
+
+
+def write_partitions(
+    table: DataFrame, path: str, by: str, replaced: DataFrame, order: list[str] | None = None, fmt: str = "parquet"
+) -> None:
+    """Write a table partitioned by a column, so that the values in ``replaced`` have its rows and no others.
+
+    Values outside ``replaced`` are replaced where the table has rows of them, and kept otherwise.
+    """
+    order = order or [by]
+    (
+        table.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .write.format(fmt)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", FILE_ROWS)
+        .option("header", True)
+        .partitionBy(by)
+        .save(path)
+    )
+    spark = table.sparkSession
+    context = spark.sparkContext
+    jvm = context._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    left = table.select(F.col(by).alias("_by")).distinct()
+    stale = replaced.select(by).join(left, F.col(by).eqNullSafe(F.col("_by")), "left_anti")
+    folders = {status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()}
+    for row in stale.toLocalIterator():
+        name = f"{by}={'__HIVE_DEFAULT_PARTITION__' if row[0] is None or row[0] == '' else escape(row[0])}"
+        if name in folders:
+            files.delete(jvm.org.apache.hadoop.fs.Path(folder, name), True)
 
 
 def export_company(

@@ -1,6 +1,6 @@
 """Readers: registry, filing index, stored pages."""
 
-from asiento.sources.index import listing_request, parse_index
+from asiento.sources.index import listing_request, missing_listings, parse_index
 from asiento.sources.markup import RowShape
 from asiento.sources.pages import (
     FORM_FIELDS,
@@ -9,8 +9,10 @@ from asiento.sources.pages import (
     extract_links,
     extract_rows,
     failed_captures,
+    one_capture,
     parse_pages,
     pivot_fields,
+    pivot_items,
     value_rows,
 )
 from asiento.sources.registry import COLUMN_MAPPING, get_company, load_registry, read_registry
@@ -18,5 +20,6 @@ from asiento.sources.registry import COLUMN_MAPPING, get_company, load_registry,
 __all__ = [
     "COLUMN_MAPPING", "FORM_FIELDS", "RowShape", "extract_controls", "extract_index_rows",
     "extract_links", "extract_rows", "failed_captures", "get_company", "listing_request",
-    "load_registry", "parse_index", "parse_pages", "pivot_fields", "read_registry", "value_rows",
+    "load_registry", "missing_listings", "one_capture", "parse_index", "parse_pages", "pivot_fields", "pivot_items",
+    "read_registry", "value_rows",
 ]

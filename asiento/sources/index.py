@@ -97,3 +97,18 @@ def parse_index(
         "filing_pos",
     )
     return filings, failed
+
+
+def missing_listings(companies: DataFrame, rows: DataFrame) -> DataFrame:
+    """Companies of which no index row was captured, not even a header: their listing failed."""
+    return (
+        companies.select("company_id")
+        .distinct()
+        .join(rows.select("company_id").distinct(), "company_id", "left_anti")
+        .select(
+            "company_id",
+            F.lit(None).cast("string").alias("document_id"),
+            F.lit("listing").alias("stage"),
+            F.array(F.lit("index: missing")).alias("errors"),
+        )
+    )

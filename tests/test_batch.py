@@ -75,7 +75,10 @@ def test_run(spark, tmp_path):
     assert (alfa.statements_exported, alfa.values_exported, alfa.filings_fetched) == (2, 2, 2)
     epsilon = counts["0012"]
     assert (epsilon.fetches_failed, epsilon.statements_rejected, epsilon.statements_exported) == (1, 1, 0)
-    assert set(counts) == {"30444444444", "0012"}
+    beta = counts["30222222222"]
+    assert (beta.companies_loaded, beta.filings_found, beta.duplicates) == (1, 0, "set")
+    assert set(counts) == {"30444444444", "0012", "30222222222"}
+    assert not (tmp_path / "out" / "_staging").exists() and not list((tmp_path / "out").glob("asiento-*"))
 
     values = spark.read.parquet(f"{out}/statement_values")
     rows = values.orderBy("statement_pos", "pos").collect()
@@ -146,3 +149,46 @@ def test_display(spark):
         "cast(null as int) n"
     )
     assert tuple(A.display(df).first()) == ("2025-01-02 03:04", "2025-01-02", "1,234,567", "1,234.50", "TRUE", "x", None)
+
+
+def test_company_without_any_listing_is_rejected(spark, tmp_path):
+    companies, _ = A.read_registry(spark, registry(tmp_path))
+    rows = spark.createDataFrame([index_row("0012", 0, "x", "1", "u")], INDEX_ROWS)
+    missing = {row.company_id: row.errors for row in A.missing_listings(companies, rows).collect()}
+    assert missing == {"30444444444": ["index: missing"], "30222222222": ["index: missing"]}
+
+
+def tables_of(spark, *rows):
+    """A bundle of (ticker, value of its values table or None)."""
+    values = [(f"c{t}", t, 1, 1, v) for t, v in rows if v is not None]
+    return A.sinks.bundle.ExportTables(
+        spark.createDataFrame([(f"c{t}", t, 0, "id", "x") for t, _ in rows], "company_id string, ticker string, field_pos int, field string, value string"),
+        spark.createDataFrame([(f"c{t}", t, 1) for t, _ in rows], "company_id string, ticker string, statement_pos long"),
+        spark.createDataFrame(values, "company_id string, ticker string, statement_pos long, pos long, value string"),
+    )
+
+
+def test_bundle_leaves_no_stale_rows(spark, tmp_path):
+    out = str(tmp_path / "stale")
+    odd = "B/1 %="
+    A.write_bundle(tables_of(spark, ("A", "old"), (odd, "old"), ("C", "kept"), (None, "nameless")), out)
+    A.write_bundle(tables_of(spark, ("A", None), (odd, None), (None, None)), out)
+    found = spark.read.parquet(f"{out}/statement_values").collect()
+    assert [(row.ticker, row.value) for row in found] == [("C", "kept")]
+    assert spark.read.parquet(f"{out}/statement_metadata").count() == 4
+
+
+def test_a_table_that_cannot_be_written_does_not_stop_the_others(spark, tmp_path):
+    tables = tables_of(spark, ("A", "v"))
+    broken = tables._replace(statement_metadata=tables.statement_metadata.selectExpr("company_id", "ticker", "raise_error('bad') as statement_pos"))
+    with pytest.raises(Exception, match="bad") as problem:
+        A.write_bundle(broken, str(tmp_path / "partly"))
+    assert problem.value.__notes__ == ["table statement_metadata"]
+    assert spark.read.parquet(str(tmp_path / "partly" / "statement_values")).count() == 1
+
+
+def test_run_names_the_table_that_failed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("asiento.plans.batch.write_bundle", lambda *args: 1 / 0)
+    with pytest.raises(A.plans.ExportError, match="bundle: division"):
+        run(spark, tmp_path)
+    assert spark.read.parquet(f"{tmp_path}/out/rejects").count() > 0 and spark.read.parquet(f"{tmp_path}/out/report").count() == 3

@@ -135,7 +135,7 @@ def test_heavy_filings_give_the_same_values(spark, monkeypatch):
     lines = [(i % 6, f"label {j % 7}", str(j), str(j)) for i in range(6) for j in range(10)]
     lines += [(0, f"label {j % 11}", str(j), str(j)) for j in range(200)]
     plain = sorted(clean(spark, statements, lines).statement_values.collect())
-    monkeypatch.setattr("asiento.operators.clean.heavy_keys.__defaults__", ("n", 4, 0))
+    monkeypatch.setattr("asiento.operators.clean.heavy_keys.__defaults__", ("n", 100))
     split = clean(spark, statements, lines).statement_values
     assert "Union" in split._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(split.collect()) == plain

@@ -25,7 +25,7 @@ def test_query(spark, db, name):
 
 
 def test_stored_tables_hold_what_is_rendered(spark):
-    for table in (shapes.filings, shapes.raw_lines, shapes.registry):
+    for table in (shapes.filings, shapes.raw_lines, shapes.registry, shapes.value_pages):
         rendered, stored = table.__wrapped__(spark, SF), table(spark, SF)
         assert rendered.columns == stored.columns
         assert rendered.exceptAll(stored).isEmpty() and stored.exceptAll(rendered).isEmpty()

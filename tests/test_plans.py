@@ -5,12 +5,15 @@ import re
 import pytest
 
 import asiento as A
+from asiento.operators.joins import prefilter
+from asiento.plans.batch import page_items
 from workload import shapes
 from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-READER_QUERIES = {"page_table_rows", "page_controls"}
-URL_QUERIES = {"page_links_absolute"}
+READER_QUERIES = {
+    "page_table_rows", "page_controls", "page_links", "page_links_absolute", "page_items_joined", "value_page_rows", "failed_captures",
+}
 
 
 @pytest.fixture
@@ -54,5 +57,27 @@ def test_no_single_partition_and_no_python(spark, plan, name):
     assert "SinglePartition" not in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert not re.search("BatchEvalPython|PythonRDD", text)
-    assert ("ArrowEvalPython" in text) == (name in URL_QUERIES)
+    assert "ArrowEvalPython" not in text
     assert ("MapInArrow" in text) == (name in READER_QUERIES)
+
+
+def test_pages_are_read_where_they_are(spark, plan, tmp_path, no_auto_broadcast, monkeypatch):
+    monkeypatch.setattr("asiento.operators.joins.BROADCAST_BYTES", 0)
+    shapes.value_pages(spark, SF).write.parquet(f"{tmp_path}/pages")
+    pages = spark.read.parquet(f"{tmp_path}/pages")
+    text = plan(page_items(pages, shapes.filings(spark, SF)))
+    below_reader = text[text.index("MapInArrow") :]
+    below_reader = below_reader[: below_reader.index("FileScan") if "FileScan" in below_reader else None]
+    assert "html" in below_reader
+    assert not any("html" in line for line in text.splitlines() if "Exchange hash" in line or "Sort [" in line)
+    assert "Exchange" not in re.sub("BroadcastExchange.*", "", below_reader.split("BroadcastExchange")[0])
+
+
+def test_prefilter_keeps_all_and_little_more(spark):
+    left = spark.range(20_000).selectExpr("id as k", "cast(id as string) as s", "id as payload")
+    right = spark.range(0, 20_000, 100).selectExpr("id as k", "cast(id as string) as s")
+    kept = prefilter(left, right, ["k", "s"])
+    assert kept.columns == left.columns
+    assert kept.join(right, ["k", "s"]).count() == 200 and kept.count() < 3000
+    assert prefilter(left, right, ["k", "s"], max_slots=1 << 10).join(right, ["k", "s"]).count() == 200
+    assert prefilter(left, right.limit(0), ["k", "s"]).count() == 0

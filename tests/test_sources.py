@@ -1,3 +1,4 @@
+import time
 from datetime import date
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 import asiento as A
 from asiento.schemas import INDEX_ROWS
-from asiento.sources.markup import read_page
+from asiento.sources.markup import read_links, read_page
 from asiento.sources.pages import INDEX_ROWS_SHAPE, VALUE_PAGER, VALUE_ROWS, parse_pages, wanted_ids
 
 HEADER = "cuit,company_name,ticker,company_description,sector,industry_group,industry,subindustry,subindustry_definition,extra"
@@ -176,6 +177,72 @@ def test_links(spark):
     ]
 
 
+def test_links_as_a_reader_sees_them(spark):
+    html = (
+        "<!-- <a href='/no'>in a comment</a> --><a title='a > b' href=\"/q?a=1&amp;b=2\">Informaci&oacute;n&nbsp;<b>&lt;1&gt;</b><br>x</a>"
+        "<a href=open>never closed <a href='/next'>next</a>"
+    )
+    pages = spark.createDataFrame([(1, "https://h.example.com/", html), (2, None, None)], "id int, url string, html string")
+    links = A.extract_links(pages, ["id"], absolute=True).orderBy("link_no").collect()
+    assert [tuple(row) for row in links] == [
+        (1, 0, "https://h.example.com/q?a=1&b=2", "Información <1> x"), (1, 1, "https://h.example.com/open", "never closed"),
+        (1, 2, "https://h.example.com/next", "next"),
+    ]
+    assert A.extract_links(pages, ["id"], "ción <").count() == 1
+
+
+def test_registry_csv_quotes_line_ends_and_column_orders(spark, tmp_path):
+    folder = tmp_path / "sheets"
+    folder.mkdir()
+    mapping = {"id": "company_id", "title": "name", "symbol": "ticker"}
+    (folder / "a.csv").write_text('id,title,symbol\n1,"Alfa ""A"", SA",A\n2,"two\nlines",B\n,,\n')
+    (folder / "b.csv").write_text("\ufeffsymbol,title,id,more\nC,Gamma,3,x\n")
+    companies, rejects = A.read_registry(spark, str(folder), column_mapping=mapping, multi_line=True)
+    assert {(r.company_id, r.name, r.ticker) for r in companies.collect()} == {
+        ("1", 'Alfa "A", SA', "A"), ("2", "two\nlines", "B"), ("3", "Gamma", "C"),
+    }
+    assert rejects.count() == 0
+    with pytest.raises(ValueError, match="no column 'line'"):
+        A.read_registry(spark, str(folder), column_mapping=mapping, row_position="line")
+
+
+def test_registry_json_keeps_numbers_as_written(spark, tmp_path):
+    path = tmp_path / "r.json"
+    path.write_text('{"id": 30111111111, "title": "A", "symbol": 12.50}\n')
+    mapping = {"id": "company_id", "title": "name", "symbol": "ticker"}
+    companies, _ = A.read_registry(spark, str(path), "json", mapping)
+    assert [(r.company_id, r.ticker) for r in companies.collect()] == [("30111111111", "12.50")]
+
+
+def test_taxonomy_by_header(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("concept,source_label\nSales,VENTAS\n")
+    assert [tuple(r) for r in A.read_taxonomy(spark, str(path)).collect()] == [("VENTAS", "Sales")]
+    path.write_text("concept,label\nSales,VENTAS\n")
+    with pytest.raises(ValueError, match="source_label"):
+        A.read_taxonomy(spark, str(path))
+    path.write_text("concept,source_label\nSales,VENTAS\nOther,VENTAS\n")
+    with pytest.raises(ValueError, match="more than once"):
+        A.read_taxonomy(spark, str(path))
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a x="', "<a href=", "<!-", "<script ", "<td"])
+def test_page_reader_takes_linear_time(piece):
+    def seconds(n):
+        start = time.perf_counter()
+        read_page("", piece * n, {"a"}, [VALUE_ROWS], VALUE_PAGER)
+        read_links(piece * n)
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(40_000) < 12 * max(seconds(10_000), 0.01)
+
+
+def test_of_several_selected_options_the_last_shows():
+    page = read_page("", "<select id=s><option>a<option selected>b<option selected>c</select>", {"s"}, [])
+    assert {c["kind"]: c["value"] for c in page.controls} == {"select": "c", "value": "c"}
+
+
 KEYS = ["company_id", "filing_pos", "page_no"]
 SCHEMA = "company_id string, filing_pos long, page_no int, url string, html string"
 
@@ -212,6 +279,24 @@ def test_value_pages(spark):
     }
 
 
+def test_value_pages_complete_or_rejected(spark):
+    row = ["1", "A", "10"]
+    two_tables = values_page(1, 1, row, ["2", "B", "20"]) + values_page(1, 1, ["3", "C", "30"])
+    items = A.one_capture(items_of(spark, [
+        ("c", 0, 1, values_page(1, 2, row)), ("c", 0, 2, values_page(1, 2)),
+        ("c", 1, 1, values_page(1, 3, row)), ("c", 1, 3, values_page(3, 3, row)),
+        ("c", 2, 1, values_page(1, 1, [" ", "A", "10"])),
+        ("c", 3, 1, two_tables),
+        ("c", 4, 1, values_page(1, 1, row)), ("c", 4, 1, values_page(1, 1, row, ["2", "B", "20"])), ("c", 4, 1, ""),
+        ("c", 5, 2, values_page(1, 2, row)), ("c", 5, 1, "<p>no pager on this one"),
+    ]))
+    filings = spark.createDataFrame([("c", i, str(i)) for i in range(6)], "company_id string, filing_pos long, document_id string")
+    failed = {row.filing_pos: row.errors for row in A.failed_captures(filings, items).collect()}
+    assert failed == {0: ["capture: page empty"], 1: ["capture: page missing"], 2: ["capture: page empty"], 5: ["capture: page empty"]}
+    rows = A.value_rows(items).filter("filing_pos in (3, 4)").orderBy("filing_pos", "page_no", "row_no").collect()
+    assert [(r.filing_pos, r.row_no, r.id) for r in rows] == [(3, 0, "1"), (3, 1, "2"), (3, 2, "3"), (4, 0, "1"), (4, 1, "2")]
+
+
 def test_form_fields(spark):
     forms = [
         ("c", 0, 1, '<input id="1date17466" value=" 31/12/2024 "><input id="1textbox16696" value=" "><input id="1decimal20806" value="5">'),
@@ -221,6 +306,7 @@ def test_form_fields(spark):
     items = items_of(spark, forms)
     controls = items.select(*KEYS, F.inline("controls"))
     rows = {row.filing_pos: row for row in A.pivot_fields(controls).collect()}
+    assert {tuple(row) for row in A.pivot_items(items).collect()} == {tuple(row) for row in rows.values()}
     assert (rows[0].period_end_date, rows[0].number_of_employees, rows[0].reporting_period) == ("31/12/2024", "5", "Anual")
     assert (rows[1].period_end_date, rows[1].number_of_employees, rows[1].reporting_period) == ("", "7", "")
     pages = spark.createDataFrame([(company, pos, page, "", html) for company, pos, page, html in forms], SCHEMA)

@@ -65,7 +65,7 @@ fd AS (
 _L = """
 l AS (
   SELECT l_orderkey AS orderkey,
-         l_linenumber * 1099511627776 + l_partkey * 1048576 + l_suppkey * 64 + CAST(l_quantity AS BIGINT) AS pos,
+         (l_suppkey * 8 + l_linenumber) * 1099511627776 + l_partkey * 64 + CAST(l_quantity AS BIGINT) AS pos,
          list_extract(['CAJA Y BANCOS', 'VENTAS', 'Costo de lo Vendido', 'resultado del año', 'Ventas', 'Otras partidas', 'NOTA'], l_linenumber) AS label,
          list_extract(['Cash', 'Sales', 'CostOfGoods', 'YearResult', 'Sales', 'Otras partidas', 'NOTA'], l_linenumber) AS concept,
          CASE WHEN l_partkey % 997 > 0 THEN l_extendedprice END AS amount,
@@ -146,12 +146,46 @@ companies AS (
   QUALIFY registry_row = max(registry_row) OVER (PARTITION BY ticker)
 )"""
 
+#: Stands for a missing text, which no text can be.
+NULL = "\x00"
+
+# What the rendered value pages show. Of the captures of a page the longer one counts.
+_PAGES = """
+all_lines AS (
+  SELECT l_orderkey AS k, CAST(ceil(l_linenumber / 2) AS INTEGER) AS page_no,
+         row_number() OVER (PARTITION BY l_orderkey, ceil(l_linenumber / 2)
+                            ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice)::INTEGER - 1 AS row_no,
+         list_extract(['CAJA Y BANCOS', 'VENTAS', 'Costo de lo Vendido', 'resultado del año', 'Ventas', 'Otras partidas', 'NOTA'], l_linenumber) AS label,
+         CASE WHEN l_orderkey % 73 = 0 AND l_linenumber = 1 THEN NULL ELSE replace(format('{:.2f}', l_extendedprice), '.', ',') END AS value,
+         CAST(l_linenumber AS VARCHAR) AS id
+  FROM lineitem
+),
+last_pages AS (SELECT k, max(page_no) AS last_page FROM all_lines GROUP BY k),
+empty_pages AS (SELECT k, last_page + 1 AS page_no FROM last_pages WHERE k % 61 = 0 AND NOT (k % 59 = 0 AND last_page = 0)),
+shown AS (
+  SELECT * FROM all_lines JOIN (SELECT k, company_id, filing_pos, document_id FROM fd) USING (k)
+  WHERE NOT (k % 59 = 0 AND page_no = 1)
+),
+there AS (SELECT k, page_no FROM shown UNION SELECT k, page_no FROM empty_pages),
+wanted AS (SELECT k, last_page + CASE WHEN k % 61 = 0 THEN 1 ELSE 0 END AS pages FROM last_pages),
+judged_pages AS (
+  SELECT fd.k, fd.company_id, fd.document_id, fd.filing_pos,
+         concat_ws('; ',
+           CASE WHEN n.pages IS NULL THEN 'capture: missing' END,
+           CASE WHEN fd.k % 71 > 0 AND n.pages < wanted.pages THEN 'capture: page missing' END,
+           CASE WHEN fd.k % 71 > 0 AND fd.k % 61 = 0 AND n.pages IS NOT NULL THEN 'capture: page empty' END,
+           CASE WHEN fd.k % 71 > 0 AND fd.k IN (SELECT k FROM shown WHERE value IS NULL) THEN 'capture: line cut short' END
+         ) AS errors
+  FROM fd LEFT JOIN (SELECT k, count(*) AS pages FROM there GROUP BY k) n USING (k) LEFT JOIN wanted USING (k)
+),
+failed AS (SELECT * FROM judged_pages WHERE errors <> '')"""
+
 _CLEAN = f"WITH {_F},{_L},{_JUDGED.format(source='fd')}"
 _CLEAN_CHOSEN = f"WITH {_F},{_L},{_CHOSEN},{_JUDGED.format(source='chosen')}"
 
 ORACLE: dict[str, str] = {
     "es_number_parse": """
-SELECT l_linenumber * 1099511627776 + l_partkey * 1048576 + l_suppkey * 64 + CAST(l_quantity AS BIGINT) AS pos,
+SELECT (l_suppkey * 8 + l_linenumber) * 1099511627776 + l_partkey * 64 + CAST(l_quantity AS BIGINT) AS pos,
        l_orderkey AS order_key,
        CASE WHEN l_partkey % 997 > 0 THEN l_extendedprice ELSE -1.0 END AS price,
        -l_quantity AS returned
@@ -359,6 +393,35 @@ SELECT company_id, filing_pos,
        CASE WHEN k % 47 = 0 THEN '' ELSE translate(format('{{:,.2f}}', price), ',.', '.,') END AS equity_share_price_at_period_end,
        translate(format('{{:,.2f}}', (k % 10000) / 100.0::DOUBLE), ',.', '.,') AS free_float_percentage,
        CASE WHEN k % 53 = 0 THEN '12,5' ELSE replace(format('{{:,}}', k % 5000), ',', '.') END AS number_of_employees,
-       '' AS treasury_shares
+       CASE WHEN k % 19 > 0 THEN 'Pesos' ELSE '' END AS presentation_currency,
+       list_extract(['NIIF', 'rt', ''], k % 3 + 1) AS accounting_standards_applied,
+       CASE WHEN k % 43 = 0 THEN 'SI' ELSE merger END AS merger_or_demerger_in_process,
+       CASE WHEN k % 2 = 0 THEN 'Si' ELSE 'No' END AS treasury_shares,
+       'No' AS insolvency_proceedings, 'Sí' AS public_offering_of_equity_instruments,
+       replace(format('{{:,}}', CAST(floor(price) AS BIGINT)), ',', '.') AS subscribed_shares_at_period_end,
+       '' AS price_earnings_ratio, '' AS market_capitalization
 FROM fd""",
+    "value_page_rows": f"""
+WITH {_F},{_PAGES}
+SELECT company_id, filing_pos, page_no, row_no, label, value, id FROM shown
+WHERE k NOT IN (SELECT k FROM failed) AND k % 71 > 0""",
+    "failed_captures": f"""
+WITH {_F},{_PAGES}
+SELECT company_id, document_id, filing_pos, 'extract' AS stage, errors FROM failed""",
+    "page_items_joined": f"""
+WITH {_F},{_PAGES}
+SELECT company_id, filing_pos, page_no, count(label)::INTEGER AS n_rows,
+       CASE WHEN page_no = 1 THEN 26 ELSE 0 END AS n_controls
+FROM (SELECT k, company_id, filing_pos, page_no, label FROM shown
+      UNION ALL SELECT k, company_id, filing_pos, page_no, NULL FROM fd JOIN empty_pages USING (k))
+WHERE k % 13 > 0 AND k % 17 > 0
+GROUP BY company_id, filing_pos, page_no""",
+    "registry_csv": f"""
+WITH {_REGISTRY}
+SELECT company_id, name || ' "SA", ' || chr(10) || 'x' AS name, coalesce(ticker, '{NULL}') AS ticker, sector, registry_pos
+FROM companies""",
+    "bundle_round_trip": f"""
+{_CLEAN},{_REGISTRY}
+SELECT c.ticker, vals.company_id, document_id, concept, value FROM vals JOIN companies c USING (company_id)
+WHERE c.ticker IS NOT NULL AND CAST(c.company_id AS BIGINT) % 4 > 0""",
 }

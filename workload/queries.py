@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -10,10 +12,14 @@ from pyspark.sql import functions as F
 
 import asiento as A
 from asiento import functions as C
+from asiento.functions.text import blank_to_null
 from asiento.operators.clean import last_lines
 from asiento.schemas import FILING_KEY, position
-from asiento.sources.pages import controls_of, parse_pages, wanted_ids
+from asiento.plans.batch import page_items
+from asiento.sinks.bundle import export_tables, write_partitions
+from asiento.sources.pages import parse_pages, wanted_ids
 from workload import shapes
+from workload.oracle import NULL
 
 #: Listing range of the dated queries.
 DATE_FROM, DATE_TO = date(1996, 1, 1), date(1998, 6, 30)
@@ -304,20 +310,67 @@ def page_table_rows(spark, sf_dir):
 
 
 def page_controls(spark, sf_dir):
-    pages = shapes.form_pages(spark, sf_dir)
     keys = [*FILING_KEY, "page_no"]
-    fields = A.pivot_fields(controls_of(parse_pages(pages, keys, wanted_ids()), keys))
-    return fields.select(
-        *FILING_KEY,
-        "reporting_period",
-        "period_end_date",
-        "financial_statements_type",
-        "unit_of_measure",
-        "equity_share_price_at_period_end",
-        "free_float_percentage",
-        "number_of_employees",
-        "treasury_shares",
-    )
+    return A.pivot_items(parse_pages(shapes.form_pages(spark, sf_dir), keys, wanted_ids()))
+
+
+def _chosen_links(spark, sf_dir):
+    return _filings(spark, sf_dir).select("company_id", "document_link", "filing_pos", "document_id")
+
+
+def page_items_joined(spark, sf_dir):
+    """Pages of the filings without an excluded phrase, read in place and joined to their filings."""
+    chosen = A.exclude_phrases(_filings(spark, sf_dir), A.EXCLUDED_PHRASES)
+    items = page_items(shapes.value_pages(spark, sf_dir), chosen)
+    return items.select(*FILING_KEY, "page_no", F.size("rows").alias("n_rows"), F.size("controls").alias("n_controls"))
+
+
+def value_page_rows(spark, sf_dir):
+    filings = _chosen_links(spark, sf_dir)
+    items = page_items(shapes.value_pages(spark, sf_dir), filings)
+    failed = A.failed_captures(filings, items).select(*FILING_KEY)
+    return A.value_rows(items).join(failed, FILING_KEY, "left_anti")
+
+
+def failed_captures(spark, sf_dir):
+    filings = _chosen_links(spark, sf_dir)
+    failed = A.failed_captures(filings, page_items(shapes.value_pages(spark, sf_dir), filings))
+    return failed.withColumn("errors", F.concat_ws("; ", "errors"))
+
+
+def _written(spark, name):
+    """A new folder for what a query writes and reads again: below the shared one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def registry_csv(spark, sf_dir):
+    """The registry written as CSV, with quotes, line ends and an empty row, and read by its headers."""
+    sheet = shapes.registry(spark, sf_dir)
+    name = F.concat(blank_to_null("company_name"), F.lit(' "SA", \nx'))
+    # The column that orders the sheet is text in a CSV file.
+    sheet = sheet.withColumn("company_name", name).withColumn("sheet_row", F.lpad(F.col("sheet_row").cast("string"), 12, "0"))
+    texts = [F.lit(None).cast("string").alias(column) for column in sheet.columns]
+    sheet = sheet.select(*[F.col(column).cast("string") for column in sheet.columns]).unionByName(spark.range(3).select(*texts))
+    target = _written(spark, "registry")
+    sheet.write.option("header", True).option("escape", '"').csv(target)
+    companies, _ = A.read_registry(spark, target, row_position="sheet_row", multi_line=True)
+    ticker = F.coalesce("ticker", F.lit(NULL)).alias("ticker")
+    return companies.select("company_id", "name", ticker, "sector", F.col("registry_pos").cast("bigint").alias("registry_pos"))
+
+
+def bundle_round_trip(spark, sf_dir):
+    """Exports of all tickers, then again those of a quarter of the companies without any value."""
+    companies, _ = A.load_registry(shapes.registry(spark, sf_dir), "sheet_row")
+    companies, clean = companies.filter("ticker is not null"), _clean(spark, sf_dir)
+    # One partition folder for each ticker: bundles of tickers, so that the folders stay few.
+    target = _written(spark, "bundle")
+    first = export_tables(companies, clean.statements, clean.statement_values)
+    write_partitions(first.statement_values, target, "ticker", companies)
+    quarter = companies.filter("cast(company_id as bigint) % 4 = 0")
+    write_partitions(first.statement_values.limit(0), target, "ticker", quarter)
+    kept = spark.read.parquet(target)
+    return kept.select(F.col("ticker").cast("string").alias("ticker"), "company_id", "document_id", "concept", "value")
 
 
 QUERIES: dict[str, Query] = {
@@ -357,5 +410,10 @@ QUERIES: dict[str, Query] = {
         page_links_absolute,
         page_table_rows,
         page_controls,
+        page_items_joined,
+        value_page_rows,
+        failed_captures,
+        registry_csv,
+        bundle_round_trip,
     )
 }

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from asiento.functions.dates import MONTHS
 from asiento.operators import taxonomy_table
-from asiento.schemas import FILING_KEY, position
+from asiento.schemas import FILING_KEY
+from asiento.sources.pages import FORM_FIELDS
 
 #: A small invented taxonomy; real ones are supplied by the user of the library.
 TAXONOMY = {
@@ -43,39 +44,43 @@ LABELS = {
 
 
 #: Columns whose values spread the rows of a table evenly.
-KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "pages": "page_id", "documents": "doc_id"}
+KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "pages": "page_id", "documents": "doc_id", "customer": "c_custkey"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. One kept in fewer files than there are cores is read by too few tasks: spread it."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in KEYS and len(df.inputFiles()) < cores:
-        return df.repartition(cores, KEYS[name])
-    return df
-
-
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, ...], str] = {}
 
 
-def stored(render: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+def stored(render: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """Render a table on its first use in an application, and read it from then on."""
 
     @wraps(render)
-    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def read(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared:
-            return render(spark, sf_dir)
-        key = (spark.sparkContext.applicationId, sf_dir, render.__name__)
+            return render(spark, sf_dir, *names)
+        key = (spark.sparkContext.applicationId, sf_dir, render.__name__, *names)
         if key not in _STORED:
             target = f"{shared.rstrip('/')}/rendered-{uuid.uuid4().hex}/{render.__name__}"
-            render(spark, sf_dir).write.parquet(target)
+            render(spark, sf_dir, *names).write.parquet(target)
             _STORED[key] = target
         return spark.read.parquet(_STORED[key])
 
     return read
 
 
+@stored
+def _spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A copy of a test table in as many files as there are cores; the tests' tables are one file each."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(spark.sparkContext.defaultParallelism, KEYS[name])
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table; with a shared folder, its spread copy, made once."""
+    if name in KEYS and spark.conf.get("spark.checkpoint.dir", None):
+        return _spread(spark, sf_dir, name)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def es_whole(c: Column) -> Column:
     """1234 -> ``1.234``"""
     return F.translate(F.format_number(c, 0), ",", ".")
@@ -156,8 +161,9 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("orderkey"),
-        line.alias("page_no"),
-        (F.shiftleft(part, 20) + F.shiftleft("l_suppkey", 6) + F.col("l_quantity").cast("bigint")).alias("row_no"),
+        # Together unique within an order, and within their bits for a million suppliers and 30 million parts.
+        (F.col("l_suppkey") * 8 + line).cast("int").alias("page_no"),
+        (part * 64 + F.col("l_quantity").cast("bigint")).cast("int").alias("row_no"),
         F.element_at(F.array(*[F.lit(label) for label in LABELS.values()]), line).alias("label"),
         F.when(part % 997 == 0, F.lit("n/d"))
         .otherwise(es_decimal(F.col("l_extendedprice")))
@@ -228,37 +234,86 @@ def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _form() -> Column:
+    """A form with all fields of a filing; the first of the two employee controls is empty for every third."""
+    pieces: list[Column] = [F.lit("<!DOCTYPE html><p>Formulario<br><form>")]
+    for name, (ids, kind) in FORM_FIELDS.items():
+        text = F.coalesce(F.col(name), F.lit(""))
+        if kind == "select":
+            pieces += [
+                F.lit(f'<select name=s id="{ids[0]}"><option value="0">--</option><option value="1" selected> '),
+                text,
+                F.lit("\n</option><option>zz</select>"),
+            ]
+        elif len(ids) == 1:
+            pieces += [F.lit(f"<input type=text id='{ids[0]}' value='"), text, F.lit("'>")]
+        else:
+            first = F.when(F.col("orderkey") % 3 > 0, text).otherwise(F.lit("  "))
+            pieces += [F.lit(f"<textarea id={ids[0]}>"), first, F.lit(f'</textarea><input id="{ids[1]}" value="'), text, F.lit('">')]
+    return F.concat(*pieces)
+
+
 @stored
 def form_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form pages of all filings, not well-formed: ``company_id, filing_pos, page_no, url, html``."""
-    select_ids = {
-        "reporting_period": "1select18889",
-        "financial_statements_type": "1select36921",
-        "unit_of_measure": "1select111599",
-    }
-    value_ids = {
-        "period_end_date": "1date17466",
-        "equity_share_price_at_period_end": "1decimal61378",
-        "free_float_percentage": "1decimal46286",
-    }
-    pieces: list[Column] = [F.lit("<!DOCTYPE html><p>Formulario<br><form>")]
-    for field, element_id in select_ids.items():
-        pieces += [
-            F.lit(f'<select name=s id="{element_id}"><option value="0">--</option><option value="1" selected> '),
-            F.col(field),
-            F.lit("\n</option><option>zz</select>"),
-        ]
-    for field, element_id in value_ids.items():
-        pieces += [F.lit(f"<input type=text id='{element_id}' value='"), F.col(field), F.lit("'>")]
-    # The first of the two employee controls is empty for every third filing.
-    first = F.when(F.col("orderkey") % 3 > 0, F.col("number_of_employees")).otherwise(F.lit("  "))
-    pieces += [
-        F.lit("<textarea id=1textbox16696>"), first,
-        F.lit('</textarea><input id="1decimal20806" value="'), F.col("number_of_employees"), F.lit('">'),
-    ]
     return filings(spark, sf_dir).select(
         *FILING_KEY,
         F.lit(1).alias("page_no"),
         F.col("document_link").alias("url"),
-        F.concat(*pieces).alias("html"),
+        _form().alias("html"),
+    )
+
+
+#: Captures of value tables, two line numbers to a page, as SQL over the order's key k: what is spoiled.
+NO_FIRST_PAGE, EMPTY_LAST_PAGE, TWO_TABLES, NO_PAGER, CUT_SHORT, TWICE = (
+    f"k % {n} = 0" for n in (59, 61, 7, 71, 73, 5)
+)
+
+
+@stored
+def value_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``FILING_PAGES`` with the form and the value table of all filings over up to four pages.
+
+    Some filings lack their first page, end with an empty one, have no pager, or a line without its last
+    cell. Some pages hold two tables. Some are captured twice, once without their last line.
+    """
+    cells = ["l_linenumber", "label", "replace(format_string('%.2f', l_extendedprice), '.', ',')"]
+    row = "concat('<tr>', concat_ws('', " + ", ".join(f"'<td>', {cell}, '</td>'" for cell in cells) + "), '</tr>')"
+    cut = f"concat('<tr><td>', l_linenumber, '</td><td>', label, '</td></tr>')"
+    label = f"element_at(array({', '.join(repr(text) for text in LABELS.values())}), l_linenumber)"
+    lines = table(spark, sf_dir, "lineitem").selectExpr("*", "l_orderkey as k", f"{label} as label")
+    lines = lines.selectExpr(
+        "k",
+        "ceil(l_linenumber / 2) as page_no",
+        "struct(l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, "
+        f"if({CUT_SHORT} and l_linenumber = 1, {cut}, {row}) as row) as line",
+    )
+    pages = lines.groupBy("k", "page_no").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    last = lines.groupBy("k").agg(F.max("page_no").alias("last_page"))
+    pages = pages.join(last, "k")
+    empty = pages.filter(f"page_no = last_page and {EMPTY_LAST_PAGE}").withColumns(
+        {"page_no": F.col("page_no") + 1, "lines": F.expr("filter(lines, x -> false)")}
+    )
+    pages = pages.unionByName(empty).filter(f"not ({NO_FIRST_PAGE} and page_no = 1)")
+    again = pages.filter(f"{TWICE} and size(lines) > 1").withColumn("lines", F.expr("slice(lines, 1, size(lines) - 1)"))
+    body = "concat_ws('', transform(slice(lines, {}, size(lines)), x -> x.row))"
+    opened, closed = "<table entidad=\"10013\"><tbody>", "</tbody></table>"
+    parts = pages.unionByName(again).selectExpr(
+        "k as orderkey",
+        "cast(page_no as int) as page_no",
+        f"""concat(
+            if({NO_PAGER}, '', concat('<ul class="pagination" entidad="10013" data-paginainicio="1" data-paginafin="',
+                cast(last_page + if({EMPTY_LAST_PAGE}, 1, 0) as string), '"></ul>')),
+            '{opened}',
+            if({TWO_TABLES} and size(lines) > 1,
+                concat(lines[0].row, '{closed}<p>&nbsp;</p>{opened}', {body.format(2)}), {body.format(1)}),
+            '{closed}') as value_table""",
+    )
+    joined = parts.join(filings(spark, sf_dir), "orderkey")
+    return joined.select(
+        "company_id",
+        "document_link",
+        "page_no",
+        F.col("document_link").alias("url"),
+        F.concat(F.when(F.col("page_no") == 1, _form()).otherwise(F.lit("")), "value_table").alias("html"),
     )

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from asiento.llm.common import free_name, hashed_words, map_batches, small_batches, text_blocks
+from asiento.llm.common import free_name, hashed_words, map_batches, small_batches, stored, text_blocks
 
 #: Bounds of the training sample: confirmed toxic texts and unlabelled texts.
 POSITIVES, UNLABELLED = 3000, 9000
@@ -148,16 +148,20 @@ def fit_toxicity(
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -30.0)
     prior = min(max(n["p"] / n["n"], 1e-4), 0.9)
     share_p = min(1.0, positives / n["p"])
-    n_rows = max(1, rows.count())
-    share_u = min(1.0, unlabelled / n_rows)
-    n_p, n_u = max(1.0, n["p"] * share_p), max(1.0, n_rows * share_u)
+    share_u = min(1.0, unlabelled / max(1, rows.count()))
     ticket = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 1e6
     marked = known.filter("toxic = 1").filter(ticket < share_p).select("id")
     # About `positives` ids of eight bytes by construction, so the side is bounded.
-    toxic = rows.join(F.broadcast(marked), "id", "left_semi").select("text", F.lit(1).alias("y"))
+    # Of rows that share an id one is taken: an id may be on a third of all rows.
+    toxic = rows.join(F.broadcast(marked), "id", "left_semi").dropDuplicates(["id"]).select("text", F.lit(1).alias("y"))
     ticket = F.pmod(F.xxhash64("id", F.lit("u")), F.lit(1_000_000)) / 1e6
-    sample = toxic.unionByName(rows.filter(ticket < share_u).select("text", F.lit(0).alias("y")))
-    p, u = F.least(F.col("p") / n_p, F.lit(1.0)), F.least(F.col("u") / n_u, F.lit(1.0))
+    unknown = rows.filter(ticket < share_u).dropDuplicates(["id"]).select("text", F.lit(0).alias("y"))
+    sample = stored(toxic.unionByName(unknown), "sample")
+    sizes = {row["y"]: row["count"] for row in sample.groupBy("y").count().collect()}
+    if len(sizes) < 2:
+        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -30.0)
+    n_p, n_u = float(sizes[1]), float(sizes[0])
+    p, u = F.col("p") / n_p, F.col("u") / n_u
     z = (p - u) / F.sqrt(p * (1 - p) / n_p + u * (1 - u) / n_u + F.lit(1e-4) / n_u)
     clear = _feature_counts(sample).filter(p >= LEAST_LIFT * u)
     best = clear.select("feature", z.alias("z")).filter(F.col("z") >= LEAST_Z)
@@ -179,9 +183,7 @@ def fit_toxicity(
             first.append(key)
             seen.append([0, 0])
         seen[rows_[key]][row["y"]] += 1
-    seen = np.array(seen or [[0, 0]])
-    if not (seen.sum(axis=0) > 0).all():
-        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -30.0)
+    seen = np.array(seen)
     x = np.zeros((len(first), len(LEVELS) * len(features)))
     for row, key in zip(x, first, strict=True):
         row[list(key)] = 1

@@ -75,7 +75,7 @@ def prints_near(rng, groups, size):
     for _ in range(groups):
         value = int(rng.integers(0, 1 << 62))
         for _ in range(size):
-            value ^= sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 4), replace=False))
+            value ^= sum(1 << int(b) for b in rng.choice(63, rng.integers(0, 4), replace=False))
             out.append(value)
     return out
 

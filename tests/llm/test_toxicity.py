@@ -65,6 +65,13 @@ def test_without_toxic_labels(spark, labels):
     assert all(r.score < 1e-6 for r in T.score_toxicity(docs, model).collect())
 
 
+def test_an_id_on_many_rows_counts_once(spark, corpus):
+    docs, labels, _ = corpus
+    again = docs.filter("doc_id = 0").crossJoin(spark.range(5000)).drop("id")
+    a, b = (T.fit_toxicity(x, labels, lambda doc_id: doc_id.isNotNull()) for x in (docs, docs.unionByName(again)))
+    assert (a.features == b.features).mean() > 0.9 if len(a.features) == len(b.features) else abs(len(a.features) - len(b.features)) < 5
+
+
 def test_levels_count_occurrences():
     model = T.ToxicityModel(np.sort(T.hashed_words(np.frombuffer(b"bad", np.uint8), np.array([0, 3])).hash), np.array([1.0, 10.0, 100.0]), 0.0)
     texts = pa.array(["good", "bad", "bad Bad", "bad bad bad bad bad", None])

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 import asiento as A
 from asiento import functions as C
 from asiento.functions.text import blank_to_null
-from asiento.operators.clean import last_lines
+from asiento.operators import clean
+from asiento.operators.clean import accepted_statements, judge_statements, last_lines, line_counts
 from asiento.schemas import FILING_KEY, position
 from asiento.plans.batch import page_items
+from asiento.plans.staging import Staging
 from asiento.sinks.bundle import export_tables, write_partitions
 from asiento.sources.pages import parse_pages, wanted_ids
 from workload import shapes
@@ -279,15 +281,20 @@ def display_format(spark, sf_dir):
 
 
 def run_report(spark, sf_dir):
-    found = A.exclude_phrases(shapes.filings(spark, sf_dir), A.EXCLUDED_PHRASES)
-    chosen = A.drop_separate_duplicates(found)
-    clean = A.clean_statements(chosen, shapes.concepts(spark, sf_dir), shapes.taxonomy(spark))
+    """Counters of a run, over steps that are stored as a run stores them."""
+    staging = Staging(spark, tempfile.gettempdir())
+    found = staging.store(A.exclude_phrases(shapes.filings(spark, sf_dir), A.EXCLUDED_PHRASES), "found")
+    chosen = staging.store(A.drop_separate_duplicates(found), "chosen")
+    lines = shapes.concepts(spark, sf_dir)
+    counts = staging.store(line_counts(lines), "line_counts")
+    judged = staging.store(judge_statements(chosen, counts), "judged")
+    accepted = staging.store(accepted_statements(judged), "accepted")
     return A.run_report(
         filings_found=found,
         filings_kept=chosen,
-        statements_rejected=clean.rejects,
-        statements_exported=clean.statements,
-        values_exported=clean.statement_values,
+        statements_rejected=clean.rejected_statements(judged),
+        statements_exported=accepted,
+        values_exported=clean.statement_values(lines, counts, accepted, shapes.taxonomy(spark)),
     )
 
 

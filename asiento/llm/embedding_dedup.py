@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from asiento.llm.common import components, stored
+from asiento.operators.joins import heavy_key_join
 
 THRESHOLD = 0.9
 #: Vectors per pivot aimed at, and the most pivots: a bounded sample, sent to all tasks.
@@ -143,11 +144,10 @@ def near_vectors(
         .withColumn("component", F.coalesce("component", "node"))
     )
     least = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
-    classes = placed.join(least, "component").select("key", "v", "n", "copies", "component_id")
-    # A vector may be a third of all rows: its class is repeated over a few salts.
-    salt = F.pmod(F.xxhash64("id"), F.lit(16)).cast("int")
-    salted = classes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
-    linked = rows.filter("ok").withColumn("salt", salt).join(salted, ["key", "v", "salt"])
+    results = placed.join(least, "component").select("key", "v", "n", "copies", "component_id")
+    # A vector may be a third of all rows; such vectors are joined by broadcast.
+    weights = classes.select("key", "v", F.col("copies").alias("n"))
+    linked = heavy_key_join(rows.filter("ok").select("id", "key", "v"), results, ["key", "v"], weights)
     linked = linked.select("id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     alone = rows.filter("not ok").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     result = linked.unionByName(alone).withColumn("component_id", F.when(F.col("id").isNotNull(), F.col("component_id")))

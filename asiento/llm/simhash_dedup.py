@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from asiento.llm.common import components, free_name, map_batches, stored
+from asiento.operators.joins import heavy_key_join
 
 #: Words of a shingle, and the largest number of differing bits of a link.
 SHINGLE_WORDS, MAX_BITS = 4, 4
@@ -256,7 +257,7 @@ def near_duplicates(
     share an id each get a row. No rows give no rows; further columns of ``docs`` are ignored.
     """
     prints = stored(fingerprints(docs, id_column, text, shingle), "prints")
-    distinct = prints.groupBy("print").agg(F.min("id").alias("rep"))
+    distinct = prints.groupBy("print").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
     distinct = stored(distinct, "classes")
     roots = components(print_links(distinct, max_bits))
     placed = distinct.join(roots, distinct["print"] == roots["node"], "left").select(
@@ -264,10 +265,8 @@ def near_duplicates(
     )
     least = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
     classes = placed.join(least, "component").select("print", "component_id")
-    # One print may hold a third of all documents: the distinct prints are repeated over a few salts.
-    salt = F.pmod(F.xxhash64("id"), F.lit(16)).cast("int")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt")
-    rows = prints.withColumn("salt", salt).join(classes.select("*", salts), ["print", "salt"])
+    # One print may hold a third of all documents; such prints are joined by broadcast.
+    rows = heavy_key_join(prints, classes, ["print"], distinct)
     return rows.select(
         F.col("id").alias(id_column), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )

@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
-from asiento.llm import byte_bpe, queries
+from asiento.llm import queries
 from asiento.llm.common import free_name
 
 SF = "/root/testdata/sf0.001"
@@ -45,20 +45,19 @@ def test_decoding_gives_the_texts(spark, documents):
         assert r.decoded_sha256 == hashlib.sha256((documents[r.doc_id]["text"] or "").encode()).hexdigest()
 
 
-def test_pipeline_is_its_stages(spark, documents):
-    docs, sizes = spark.read.parquet(f"{SF}/documents.parquet"), []
+def test_pipeline_is_its_stages(spark):
+    folder, sizes = "/root/testdata/sf0.01", []
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    n = docs.count()
     for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        before, docs = docs, stage(spark, docs, SF)
+        before, docs = docs, stage(spark, docs, folder)
         docs = spark.createDataFrame(docs.collect(), docs.schema)
         sizes.append(docs.count())
         if number < len(corpus_pipeline.STAGES) - 1:
             assert docs.columns == before.columns
-    assert sizes[0] < len(documents) and sizes[1] == sizes[0] and sizes[2] <= sizes[1] and sizes[4] == sizes[3] > 0
+    assert n > sizes[0] == sizes[1] > sizes[2] > sizes[3] == sizes[4] > n / 2
     once = {r.doc_id: r.ids_sha256 for r in docs.collect()}
-    assert {r.doc_id: r.ids_sha256 for r in corpus_pipeline.run(spark, SF).collect()} == once
-    path, pattern = queries.tokenizer()
-    codec = byte_bpe.codec(path, pattern)
-    assert all(codec.decode(r.ids) is not None for r in docs.limit(5).collect())
+    assert {r.doc_id: r.ids_sha256 for r in corpus_pipeline.run(spark, folder).collect()} == once
 
 
 @pytest.mark.parametrize("number", range(5))

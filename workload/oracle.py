@@ -423,5 +423,5 @@ FROM companies""",
     "bundle_round_trip": f"""
 {_CLEAN},{_REGISTRY}
 SELECT c.ticker, vals.company_id, document_id, concept, value FROM vals JOIN companies c USING (company_id)
-WHERE c.ticker IS NOT NULL AND CAST(c.company_id AS BIGINT) % 4 > 0""",
+WHERE c.ticker IS NOT NULL AND CAST(c.industry AS BIGINT) % 4 > 0""",
 }

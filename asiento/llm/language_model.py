@@ -3,7 +3,8 @@
 A small network predicts every word from the two words on either side of it, so from both sides; a
 document's score is the sum of the log-probabilities of its words, each given the others around it. The
 network predicts a unit: one of the most frequent words, or one of a number of groups for all others.
-Within a group a word's probability is its share of the corpus counts.
+Within a group a word's probability is its share of the corpus counts: those of the most frequent words are
+sent to the tasks, all others are joined from the stored table of counts.
 
 Counts cover all documents. The network is trained in numpy by the tasks that read the documents, on every
 ``EVERY``-th position of all of them, and the tasks' networks are averaged by Spark, round by round.
@@ -20,8 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from asiento.llm.common import free_name, hashed_words, map_batches, small_batches, stored, text_blocks
+from asiento.operators.joins import heavy_key_join
 
-#: Frequent words that are units of their own, groups of the others, words whose counts are kept.
+#: Frequent words that are units of their own, groups of the others, words whose counts are sent to the tasks.
 FREQUENT, GROUPS, KEPT_WORDS = 64, 32, 50_000
 SIDES = (-2, -1, 1, 2)
 WIDTH, HIDDEN = 8, 24
@@ -37,6 +39,7 @@ class Vocabulary:
     log_share: np.ndarray  # log of its share of the unit's corpus count
     rest: np.ndarray  # by unit: log share of any word that is not kept
     counts: np.ndarray  # by unit: corpus count
+    whole: bool  # whether every word of the corpus is kept
 
     @property
     def units(self) -> int:
@@ -44,13 +47,17 @@ class Vocabulary:
 
     def lookup(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Unit and log share of words."""
-        at = np.searchsorted(self.words, h)
-        at[at == len(self.words)] = 0
-        known = self.words[at] == h if len(self.words) else np.zeros(len(h), dtype=bool)
+        at, known = self.find(h)
         unit = np.where(known, self.unit[at] if len(self.words) else 0, group_of(h, self.units - GROUPS))
         share = np.where(known, self.log_share[at] if len(self.words) else 0.0, self.rest[unit])
         return unit, share
 
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where words are among the kept ones, and whether they are."""
+        at = np.searchsorted(self.words, h)
+        at[at == len(self.words)] = 0
+        return at, self.words[at] == h if len(self.words) else np.zeros(len(h), dtype=bool)
+
 
 def group_of(h: np.ndarray, first: int) -> np.ndarray:
     return first + (h % np.uint64(GROUPS)).astype(np.int64)
@@ -89,7 +96,7 @@ def build_vocabulary(counts: DataFrame) -> Vocabulary:
     rest = np.log((np.maximum(mass - kept, 0) + 1) / (tail_types + 1) / (mass + 1))
     order = np.argsort(words)
     share = np.where(np.arange(len(words)) < frequent, 0.0, np.log(n / (mass[unit] + 1)))
-    return Vocabulary(words[order], unit[order], share[order], rest, mass)
+    return Vocabulary(words[order], unit[order], share[order], rest, mass, not tail_types.any())
 
 
 @dataclass
@@ -206,12 +213,25 @@ def train_network(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", r
     return network
 
 
-def score_texts(texts: pa.Array, network: Network, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Number of words and summed log-probability of each text."""
+def score_texts(
+    texts: pa.Array, network: Network, vocabulary: Vocabulary, others: list | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Number of words and summed log-probability of each text.
+
+    Words that are not kept count as the mean of their group. If a list ``others`` is given, they count as
+    seen once, and it gets ``(text, word, times)`` arrays of them: times * log(corpus count) is missing.
+    """
     n, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
     for first, last, data, offsets in text_blocks(texts):
         found = hashed_words(data, offsets)
         unit, share = vocabulary.lookup(found.hash)
+        if others is not None:
+            other = np.flatnonzero(~vocabulary.find(found.hash)[1])
+            share[other] = -np.log(vocabulary.counts[unit[other]] + 1)
+            order = other[np.lexsort((found.hash[other], found.doc[other]))]
+            h, doc = found.hash[order], found.doc[order]
+            new = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))[: len(h)])
+            others.append((doc[new] + first, h[new], np.diff(np.append(new, len(h)))))
         around = _around(unit, found.doc, vocabulary.units)
         value = np.empty(len(unit))
         for at in range(0, len(unit), _BLOCK):
@@ -240,12 +260,44 @@ def score_documents(
     columns = docs.columns
     names = [free_name(columns, name) for name in ("n_words", "log_probability", "mean_log_probability")]
     at = [c.lower() for c in columns].index(text.lower())
+    n, total, mean = names
+    row, others = (free_name([*columns, *names], name) for name in ("row", "others"))
+    numbered = docs if vocabulary.whole else docs.withColumn(row, F.monotonically_increasing_id())
+    added = [] if vocabulary.whole else [others]
+    given = numbered.columns
 
     def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        n, total = score_texts(batch.column(at), *shared.value)
-        mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n), pa.array(total), mean], [*columns, *names])
-
-    double = F.lit(None).cast("double")
-    schema = docs.select("*", F.lit(None).cast("long").alias(names[0]), double.alias(names[1]), double.alias(names[2])).schema
-    return map_batches(docs, score, schema)
+        found = None if shared.value[1].whole else []
+        words, sums = score_texts(batch.column(at), *shared.value, found)
+        out = [*batch.columns, pa.array(words), pa.array(sums)]
+        if found is not None:
+            doc, h, times = map(np.concatenate, zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 3
+            values = pa.StructArray.from_arrays([pa.array(h.view(np.int64)), pa.array(times)], ["word", "times"])
+            out.append(pa.ListArray.from_arrays(np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32), values))
+        yield pa.RecordBatch.from_arrays(out, [*given, n, total, *added])
+
+    null = F.lit(None)
+    wanted = [null.cast("long").alias(n), null.cast("double").alias(total)]
+    wanted += [null.cast("array<struct<word:bigint,times:bigint>>").alias(name) for name in added]
+    scored = map_batches(numbered, score, numbered.select("*", *wanted).schema)
+    if not vocabulary.whole:
+        scored = _with_other_words(stored(scored, "scored"), counts, row, others, total, training is not None)
+    return scored.select(*columns, n, total, F.when(F.col(n) > 0, F.col(total) / F.col(n)).alias(mean))
+
+
+def _with_other_words(scored: DataFrame, counts: DataFrame, row: str, others: str, total: str, foreign: bool) -> DataFrame:
+    """``total`` with times * log(corpus count) of the words that are not kept; a word seen once adds nothing.
+
+    Such a word has at most one ``KEPT_WORDS``-th of the corpus; only one of ``foreign`` texts can be hot.
+    """
+    words = scored.select(F.col(row).alias("row"), F.inline(others))
+    seen = counts.filter("n > 1")
+    if foreign:
+        joined = heavy_key_join(words, seen, ["word"], words.groupBy("word").agg(F.count("*").alias("n")))
+    else:
+        joined = words.join(seen, "word")
+    sums = joined.groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("missing"))
+    names = [row, *scored.columns]
+    key, missing = free_name(names, "key"), free_name(names, "missing")
+    both = scored.join(sums.select(F.col("row").alias(key), F.col("missing").alias(missing)), F.col(row) == F.col(key), "left")
+    return both.withColumn(total, F.col(total) + F.coalesce(missing, F.lit(0.0)))

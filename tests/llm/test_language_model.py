@@ -106,3 +106,28 @@ def test_scores_do_not_depend_on_the_batch(spark, docs):
     _, together = M.score_texts(pa.array(texts), network, vocabulary)
     apart = [M.score_texts(pa.array([t]), network, vocabulary)[1][0] for t in texts]
     assert np.allclose(together, apart)
+
+
+def test_scores_do_not_depend_on_the_kept_words(spark, monkeypatch):
+    rng = random.Random(6)
+    words = [f"x{int(rng.paretovariate(0.5))}" for _ in range(9000)]
+    rows = [(i % 50, " ".join(words[30 * i : 30 * i + 30]) or None, "a") for i in range(310)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    other = spark.createDataFrame([(1, "x1 x900 new new x7"), (2, "x55 x55"), (3, None)], "doc_id long, text string")
+    seen = {r.word: r.n for r in M.count_words(table).collect()}
+    assert len(seen) > 400 and sum(n > 1 for n in sorted(seen.values(), reverse=True)[150:]) > 50
+    monkeypatch.setattr(M, "FREQUENT", 20)
+
+    def scores(kept, docs, training, heavy=1_000_000):
+        monkeypatch.setattr(M, "KEPT_WORDS", kept)
+        monkeypatch.setattr("asiento.operators.joins.heavy_key_join.__defaults__", ("inner", heavy))
+        out = M.score_documents(docs, training=training, rounds=0)
+        assert out.columns == [*docs.columns, "n_words", "log_probability", "mean_log_probability"]
+        key = lambda r: (r.doc_id, r.text or "", r.n_words)
+        return [(*key(r), r.log_probability, r.mean_log_probability) for r in sorted(out.collect(), key=key)]
+
+    for docs, training, heavy in ((table, None, 1_000_000), (other, table, 1_000_000), (other, table, 1)):
+        some, all_ = scores(150, docs, training, heavy), scores(100_000, docs, training)
+        assert [r[:3] for r in some] == [r[:3] for r in all_]
+        for a, b in zip(some, all_, strict=True):
+            assert np.isclose(a[3], b[3]) and (a[4] is None) == (b[4] is None) and (a[4] is None or np.isclose(a[4], b[4]))

@@ -2,12 +2,14 @@
 
 A small network predicts every word from the two words on either side of it, so from both sides; a
 document's score is the sum of the log-probabilities of its words, each given the others around it. The
-network predicts a unit: one of the most frequent words, or one of a number of groups for all others.
+network reads and predicts units: the most frequent words, and groups by frequency of all others. Units are
+in order of frequency and cut into classes; a class is predicted, and then a unit within it.
 Within a group a word's probability is its share of the corpus counts: those of the most frequent words are
 sent to the tasks, all others are joined from the stored table of counts.
 
-Counts cover all documents. The network is trained in numpy by the tasks that read the documents, on every
-``EVERY``-th position of all of them, and the tasks' networks are averaged by Spark, round by round.
+Counts cover all documents. The network is trained in numpy by the tasks that read the documents, in each round
+on another ``EVERY``-th position of all of them, and the tasks' networks are averaged by Spark, round by round.
+There are as many rounds as that, so each position trains once.
 """
 
 from __future__ import annotations
@@ -24,11 +26,13 @@ from asiento.llm.common import free_name, hashed_words, map_batches, small_batch
 from asiento.operators.joins import heavy_key_join
 
 #: Frequent words that are units of their own, groups of the others, words whose counts are sent to the tasks.
-FREQUENT, GROUPS, KEPT_WORDS = 64, 32, 50_000
+#: A group has as many words as all before it; the last one has all others, also those that are not kept.
+FREQUENT, GROUPS, KEPT_WORDS = 4096, 3, 50_000
 SIDES = (-2, -1, 1, 2)
-WIDTH, HIDDEN = 8, 24
-#: Training: rounds over the documents, share of positions, size and step of a gradient step.
-ROUNDS, EVERY, BATCH, STEP = 2, 16, 256, 0.1
+#: Sizes of an embedding and of the hidden layer, units of a class.
+WIDTH, HIDDEN, CLASS = 8, 24, 64
+#: Training: rounds over the documents, share of positions in a round, size of a gradient step, its step.
+ROUNDS, EVERY, BATCH, STEP = 2, 2, 2048, 0.1
 _BLOCK = 1 << 15
 
 
@@ -48,7 +52,7 @@ class Vocabulary:
     def lookup(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Unit and log share of words."""
         at, known = self.find(h)
-        unit = np.where(known, self.unit[at] if len(self.words) else 0, group_of(h, self.units - GROUPS))
+        unit = np.where(known, self.unit[at] if len(self.words) else 0, self.units - 1)
         share = np.where(known, self.log_share[at] if len(self.words) else 0.0, self.rest[unit])
         return unit, share
 
@@ -59,8 +63,10 @@ class Vocabulary:
         return at, self.words[at] == h if len(self.words) else np.zeros(len(h), dtype=bool)
 
 
-def group_of(h: np.ndarray, first: int) -> np.ndarray:
-    return first + (h % np.uint64(GROUPS)).astype(np.int64)
+def group_of(rank: np.ndarray, first: int) -> np.ndarray:
+    """Unit of kept words by their rank among all words; the first ``first`` are units of their own."""
+    group = np.log2(np.maximum(rank, FREQUENT) // FREQUENT).astype(np.int64)
+    return np.where(rank < first, rank, first + np.minimum(group, GROUPS - 1))
 
 
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -80,46 +86,48 @@ def build_vocabulary(counts: DataFrame) -> Vocabulary:
     words = np.array([row["word"] for row in top], dtype=np.int64).view(np.uint64)
     n = np.array([row["n"] for row in top], dtype=np.float64)
     frequent = min(FREQUENT, len(words))
-    # GROUPS divides 2^64, so the remainder of the signed number is that of the unsigned one.
-    group = F.pmod("word", F.lit(GROUPS))
-    sums = counts.groupBy(group.cast("int").alias("g")).agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect()
-    mass, types = np.zeros(frequent + GROUPS), np.zeros(frequent + GROUPS)
-    for row in sums:
-        mass[frequent + row["g"]], types[frequent + row["g"]] = row["n"], row["types"]
-    unit = group_of(words, frequent)
-    np.subtract.at(mass, unit[:frequent], n[:frequent])
-    unit[:frequent] = np.arange(frequent)
-    mass[:frequent] = n[:frequent]
-    kept = np.bincount(unit, n, frequent + GROUPS)
-    # An unseen word counts as one occurrence more of its group; a word not kept has the rest's mean count.
-    tail_types = np.maximum(types - np.bincount(group_of(words, frequent), minlength=frequent + GROUPS), 0)
-    rest = np.log((np.maximum(mass - kept, 0) + 1) / (tail_types + 1) / (mass + 1))
+    unit, last = group_of(np.arange(len(words)), frequent), frequent + GROUPS - 1
+    sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("types")).first()
+    mass = np.bincount(unit, n, last + 1)
+    others, types = (sums["n"] or 0) - n.sum(), sums["types"] - len(words)
+    mass[last] += others
+    # An unseen word counts as one occurrence more of the last group; a word not kept has the mean count of both.
+    rest = np.where(mass > 0, -np.inf, 0.0)
+    rest[last] = np.log((others + 1) / (types + 1) / (mass[last] + 1))
     order = np.argsort(words)
-    share = np.where(np.arange(len(words)) < frequent, 0.0, np.log(n / (mass[unit] + 1)))
-    return Vocabulary(words[order], unit[order], share[order], rest, mass, not tail_types.any())
+    share = np.where(np.arange(len(words)) < frequent, 0.0, np.log(n / (mass[unit] + (unit == last))))
+    return Vocabulary(words[order], unit[order], share[order], rest, mass, types == 0)
 
 
 @dataclass
 class Network:
-    """Embeddings of units (the last one: beyond the text), hidden layer, output layer."""
+    """Embeddings of units (the last one: beyond the text), hidden layer, layers of classes and of their units."""
 
     embedding: np.ndarray
     hidden: np.ndarray  # (sides, WIDTH, HIDDEN)
     hidden_bias: np.ndarray
-    output: np.ndarray
-    output_bias: np.ndarray
+    classes: np.ndarray  # (HIDDEN, classes)
+    class_bias: np.ndarray
+    output: np.ndarray  # (classes, HIDDEN, CLASS)
+    output_bias: np.ndarray  # (classes, CLASS)
 
     @staticmethod
     def start(counts: np.ndarray) -> Network:
         rng, units = np.random.default_rng(5), len(counts)
-        prior = np.log((counts + 1) / (counts + 1).sum())
+        n = -(-units // CLASS)
+        padded = np.zeros(n * CLASS)
+        padded[:units] = counts + 1
+        padded = padded.reshape(n, CLASS)
+        with np.errstate(divide="ignore"):  # places beyond the last unit are never predicted
+            within = np.maximum(np.log(padded / padded.sum(axis=1, keepdims=True)), -1e4)
         return Network(
             rng.normal(0, 0.3, (units + 1, WIDTH)), rng.normal(0, 0.3, (len(SIDES), WIDTH, HIDDEN)), np.zeros(HIDDEN),
-            rng.normal(0, 0.1, (HIDDEN, units)), prior,
+            rng.normal(0, 0.1, (HIDDEN, n)), np.log(padded.sum(axis=1) / padded.sum()),
+            rng.normal(0, 0.1, (n, HIDDEN, CLASS)), within,
         )
 
     def parts(self) -> list[np.ndarray]:
-        return [self.embedding, self.hidden, self.hidden_bias, self.output, self.output_bias]
+        return [self.embedding, self.hidden, self.hidden_bias, self.classes, self.class_bias, self.output, self.output_bias]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parts()])
@@ -139,31 +147,70 @@ class Network:
             hidden += tables[side][around[side]]
         hidden += self.hidden_bias.astype(np.float32)
         np.tanh(hidden, out=hidden)
-        logits = hidden @ self.output.astype(np.float32)
-        logits += self.output_bias.astype(np.float32)
-        chosen = logits[np.arange(len(unit)), unit].astype(np.float64)
-        top = logits.max(axis=1, keepdims=True)
-        logits -= top
-        np.exp(logits, out=logits)
-        return chosen - top[:, 0] - np.log(logits.sum(axis=1, dtype=np.float64))
-
-    def learn(self, around: np.ndarray, unit: np.ndarray, step: float) -> None:
-        """One step down the gradient of the cross entropy."""
+        logits = hidden @ self.classes.astype(np.float32)
+        logits += self.class_bias.astype(np.float32)
+        out = _chosen(logits, unit // CLASS)
+        output, bias = self.output.astype(np.float32), self.output_bias.astype(np.float32)
+        for c, at in _by_class(unit):
+            out[at] += _chosen(hidden[at] @ output[c] + bias[c], unit[at] % CLASS)
+        return out
+
+    def learn(self, around: np.ndarray, unit: np.ndarray, step: float, past: list[np.ndarray] | None = None) -> None:
+        """One step down the gradient of the cross entropy; each weight's by its ``past`` squares, if given."""
+        for k, (weights, slope) in enumerate(zip(self.parts(), self._slopes(around, unit), strict=True)):
+            if past is not None:
+                past[k] += slope**2
+                slope /= np.sqrt(past[k]) + 1e-9
+            weights -= step * slope
+
+    def _slopes(self, around: np.ndarray, unit: np.ndarray) -> list[np.ndarray]:
+        """Mean gradient of the cross entropy, by part."""
         n = len(unit)
         x = self.embedding[around]  # (sides, n, WIDTH)
-        hidden = np.tanh(np.einsum("snw,swh->nh", x, self.hidden, optimize=True) + self.hidden_bias)
-        logits = hidden @ self.output + self.output_bias
-        p = np.exp(logits - logits.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(n), unit] -= 1
-        p /= n
-        back = (p @ self.output.T) * (1 - hidden**2)
-        self.output -= step * hidden.T @ p
-        self.output_bias -= step * p.sum(axis=0)
-        inward = np.einsum("nh,swh->snw", back, self.hidden, optimize=True)
-        self.hidden -= step * np.einsum("snw,nh->swh", x, back, optimize=True)
-        self.hidden_bias -= step * back.sum(axis=0)
-        np.subtract.at(self.embedding, around.ravel(), step * inward.reshape(-1, WIDTH))
+        flat = x.transpose(1, 0, 2).reshape(n, -1)
+        hidden = np.tanh(flat @ self.hidden.reshape(-1, HIDDEN) + self.hidden_bias)
+        p = _errors(hidden @ self.classes + self.class_bias, unit // CLASS) / n
+        back = p @ self.classes.T
+        output, output_bias = np.zeros_like(self.output), np.zeros_like(self.output_bias)
+        for c, at in _by_class(unit):
+            own = hidden[at]
+            q = _errors(own @ self.output[c] + self.output_bias[c], unit[at] % CLASS) / n
+            output[c], output_bias[c] = own.T @ q, q.sum(axis=0)
+            back[at] += q @ self.output[c].T
+        back *= 1 - hidden**2
+        inward = (back @ self.hidden.reshape(-1, HIDDEN).T).reshape(n, len(SIDES), WIDTH).transpose(1, 0, 2)
+        sides, columns = around.ravel(), np.ascontiguousarray(inward.reshape(-1, WIDTH).T)
+        embedding = np.zeros_like(self.embedding)
+        for k, column in enumerate(columns):
+            embedding[:, k] = np.bincount(sides, column, len(embedding))
+        inner = (flat.T @ back).reshape(self.hidden.shape)
+        return [embedding, inner, back.sum(axis=0), hidden.T @ p, p.sum(axis=0), output, output_bias]
+
+
+def _by_class(unit: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each class that occurs and where."""
+    classes = (unit // CLASS).astype(np.int16)
+    order = np.argsort(classes, kind="stable")
+    classes = classes[order]
+    first = np.flatnonzero(np.append(True, classes[1:] != classes[:-1])[: len(classes)])
+    yield from zip(classes[first].tolist(), np.split(order, first[1:]), strict=True) if len(unit) else ()
+
+
+def _chosen(logits: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Log of the softmax at one place of each row; ``logits`` are overwritten."""
+    chosen = logits[np.arange(len(which)), which].astype(np.float64)
+    top = logits.max(axis=1, keepdims=True)
+    logits -= top
+    np.exp(logits, out=logits)
+    return chosen - top[:, 0] - np.log(logits.sum(axis=1, dtype=np.float64))
+
+
+def _errors(logits: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Softmax less one at the right place of each row."""
+    p = np.exp(logits - logits.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    p[np.arange(len(which)), which] -= 1
+    return p
 
 
 def _around(unit: np.ndarray, doc: np.ndarray, beyond: int) -> np.ndarray:
@@ -177,38 +224,45 @@ def _around(unit: np.ndarray, doc: np.ndarray, beyond: int) -> np.ndarray:
     return out
 
 
+def chosen_positions(h: np.ndarray, every: int, number: int) -> np.ndarray:
+    """Positions that train in a round: those of one residue; ``every`` rounds have each position once."""
+    residue = (h + np.arange(len(h), dtype=np.uint64)) % np.uint64(every)
+    return np.flatnonzero(residue == np.uint64(number % every))
+
+
 def train_network(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", rounds: int = ROUNDS, every: int = EVERY) -> Network:
     """Each task trains on its documents from the last round's mean; Spark takes the mean by positions."""
     network = Network.start(vocabulary.counts)
     spark = docs.sparkSession
     for number in range(rounds):
-        shared = spark.sparkContext.broadcast((network, vocabulary))  # about 1 MB, whatever the corpus
+        shared = spark.sparkContext.broadcast((network, vocabulary))  # about 3 MB, whatever the corpus
 
         def learn(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
             first, words = shared.value
-            own, seen = first.with_values(first.flat()), 0
+            own, seen = first.with_values(first.flat().astype(np.float32)), 0
+            past = [np.zeros_like(part) for part in own.parts()]
             for batch in batches:
                 for _, _, data, offsets in text_blocks(batch.column(0)):
                     found = hashed_words(data, offsets)
                     unit, _ = words.lookup(found.hash)
                     around = _around(unit, found.doc, words.units)
-                    chosen = np.flatnonzero((found.hash + np.arange(len(unit), dtype=np.uint64)) % np.uint64(every) == number)
+                    chosen = chosen_positions(found.hash, every, number)
                     for at in range(0, len(chosen), BATCH):
                         part = chosen[at : at + BATCH]
-                        own.learn(around[:, part], unit[part], STEP)
+                        own.learn(around[:, part], unit[part], STEP, past)
                     seen += len(chosen)
             values = own.flat()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(values))), pa.array(values), pa.array(np.full(len(values), seen))],
-                ["at", "value", "n"],
-            )
-
-        parts = small_batches(docs.select(text)).mapInArrow(learn, "at long, value double, n long")
-        mean = parts.filter("n > 0").groupBy("at").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("value"))
-        rows = mean.collect()  # as many rows as the network has weights
-        if rows:
+            for at in range(0, len(values) if seen else 0, 1 << 14):
+                part = values[at : at + (1 << 14)].astype(np.float32)
+                columns = np.arange(at, at + len(part), dtype=np.int32), part, np.full(len(part), seen)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["at", "value", "n"])
+
+        parts = small_batches(docs.select(text)).mapInArrow(learn, "at int, value float, n long")
+        mean = parts.groupBy("at").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("value"))
+        rows = mean.toArrow()  # as many rows as the network has weights
+        if len(rows):
             values = np.zeros(len(rows))
-            values[[row["at"] for row in rows]] = [row["value"] for row in rows]
+            values[rows["at"].to_numpy()] = rows["value"].to_numpy()
             network = network.with_values(values)
     return network
 

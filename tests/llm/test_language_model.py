@@ -131,3 +131,33 @@ def test_scores_do_not_depend_on_the_kept_words(spark, monkeypatch):
         assert [r[:3] for r in some] == [r[:3] for r in all_]
         for a, b in zip(some, all_, strict=True):
             assert np.isclose(a[3], b[3]) and (a[4] is None) == (b[4] is None) and (a[4] is None or np.isclose(a[4], b[4]))
+
+
+def topical(rng, n, kinds, of_kind):
+    """Thousands of words, the kind of each mostly following from the kind of the last."""
+    out, at = [], 0
+    for _ in range(n):
+        at = (at * 7 + 3) % kinds if rng.random() < 0.9 else rng.randrange(kinds)
+        out.append(f"k{at}x{int(of_kind * rng.random() ** 1.5)}")
+    return out
+
+
+def test_order_of_thousands_of_words_counts_as_set_for_production(spark):
+    rng = random.Random(7)
+    texts = [topical(rng, 400, 20, 150) for _ in range(2000)]
+    table = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(2)
+    assert len({word for t in texts for word in t}) == 3000
+    fresh = [topical(rng, 200, 20, 150) for _ in range(30)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(fresh)] + [(100 + i, " ".join(rng.sample(t, 200))) for i, t in enumerate(fresh)]
+    got = M.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), training=table).collect()
+    scores = {r.doc_id: r.mean_log_probability for r in got}
+    gaps = [scores[i] - scores[100 + i] for i in range(30)]
+    print("gap of real to shuffled order", np.mean(gaps), min(gaps))
+    assert min(gaps) > 1.0
+
+
+def test_every_position_trains_once():
+    h = np.random.default_rng(8).integers(0, 1 << 63, 1000, dtype=np.uint64)
+    rounds = [M.chosen_positions(h, M.EVERY, number) for number in range(M.ROUNDS)]
+    assert sorted(np.concatenate(rounds).tolist()) == list(range(1000))
+    assert len(M.chosen_positions(h, 1, 3)) == 1000

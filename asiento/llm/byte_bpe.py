@@ -86,7 +86,8 @@ def codec(path: str, pattern: str) -> Codec:
 def stitch(codec_: Codec, chunks: Sequence[tuple[int, str, Sequence[int]]]) -> list[str]:
     """Pre-tokens of the whole text from its chunks (offset, text, ends relative to the chunk), in order.
 
-    The last pre-token of a chunk may end early and is never trusted, but in the last chunk.
+    The last two pre-tokens of a chunk are never trusted, but in the last chunk: the last may end early, and a
+    contraction that is cut after its first letter (``'r|e``) is split in two.
     """
     text = chunks[0][1]
     for (at, part, _), (before, previous, _) in zip(chunks[1:], chunks, strict=False):
@@ -94,7 +95,7 @@ def stitch(codec_: Codec, chunks: Sequence[tuple[int, str, Sequence[int]]]) -> l
     sure, done = [], 0  # ends that are right; the last of them
     for number, (offset, part, ends) in enumerate(chunks):
         final = number == len(chunks) - 1
-        own = [offset + end for end in (ends if final else ends[:-1])]
+        own = [offset + end for end in (ends if final else ends[:-2])]
         starts = {offset, *own} if number == 0 else set(own)
         limit = own[-1] if own else offset
         while done not in starts and done < (len(text) if final else limit):  # not in step yet: go on from here

@@ -57,3 +57,16 @@ def test_cache_is_bounded(monkeypatch):
     for _ in range(3):
         assert CODEC.encode_pieces(CODEC.pieces(text)) == WHOLE.encode_ordinary(text)
         assert len(CODEC._ids) <= 5 + 99
+
+
+@given(st.text(alphabet="'revlt s!\n", min_size=1, max_size=120), st.integers(1, 9), st.integers(1, 6))
+@settings(max_examples=400, deadline=None)
+def test_stitched_is_whole_with_contractions(text, stride, overlap):
+    assert B.stitch(CODEC, chunks(text, stride, overlap)) == CODEC.pieces(text)
+
+
+def test_contraction_across_the_end_of_a_chunk():
+    for word in ("they're", "they've", "they'll"):
+        for before in range(B.STRIDE + B.OVERLAP - 9, B.STRIDE + B.OVERLAP + 2):
+            text = "a" * before + " " + word + " so" * 50
+            assert B.stitch(CODEC, chunks(text, B.STRIDE, B.OVERLAP)) == CODEC.pieces(text)

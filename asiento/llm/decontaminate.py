@@ -2,9 +2,10 @@
 
 Windows of about the length of each benchmark item slide over every document. A window lies on a stride,
 and an item is fingerprinted at all its offsets, so each whole occurrence of an item holds a window that
-equals one of the item's. A 64-bit fingerprint is cut into four blocks of 16 bits: of two fingerprints
+equals one of the item's, and so does each run of 0.8 of an item. A 64-bit fingerprint is cut into four blocks of 16 bits: of two fingerprints
 within 4 r + 3 bits some block differs in at most r, so tables of all blocks within r bits of an item's
-find every pair in the radius. The weighted (multiset) Jaccard similarity of word shingles then decides.
+find every pair in the radius. The weighted (multiset) Jaccard similarity of word shingles then decides, over
+passages of any length around the windows: one that reaches 0.8 has 0.8 to 1.25 of the item's length.
 """
 
 from __future__ import annotations
@@ -81,7 +82,9 @@ class Benchmark:
     k: int
 
 
-def build_benchmark(ids: list, texts: list[str], k: int = SHINGLE_WORDS, block_bits: int = BLOCK_BITS) -> Benchmark:
+def build_benchmark(
+    ids: list, texts: list[str], k: int = SHINGLE_WORDS, block_bits: int = BLOCK_BITS, similarity: float = SIMILARITY
+) -> Benchmark:
     """Windows of all items of at least ``k`` words."""
     items: list[np.ndarray] = []
     for text in texts:
@@ -94,7 +97,8 @@ def build_benchmark(ids: list, texts: list[str], k: int = SHINGLE_WORDS, block_b
     ladder = window_sizes(max(map(len, items), default=0))
     for number, h in enumerate(items):
         if len(h):
-            by_size.setdefault(max(w for w in ladder if w + stride_of(w) - 1 <= len(h)), []).append(number)
+            run = max(1, int(len(h) * similarity))
+            by_size.setdefault(max(w for w in ladder if w + stride_of(w) - 1 <= run), []).append(number)
     sizes = []
     for size, numbers in sorted(by_size.items()):
         prints = [window_prints(items[i], size, 1) for i in numbers]
@@ -140,8 +144,57 @@ def _candidates(h: np.ndarray, doc: np.ndarray, bench: Benchmark, radius: int) -
     return found
 
 
-def leaks_of(texts: pa.Array, bench: Benchmark, similarity: float, radius: int) -> list[list[dict]]:
-    """For each text: its best passage for every item that reaches the similarity."""
+def best_passage(h: np.ndarray, item: Counter, similarity: float) -> tuple[float, int] | None:
+    """Highest similarity of a passage of ``h`` to the item and where it begins, if it reaches ``similarity``.
+
+    Shingles that are not in the item never stand at the ends of the best passage, and a passage that
+    reaches the similarity has at most 1 / similarity times the item's shingles.
+    """
+    size, values = sum(item.values()), h.tolist()
+    longest, least = int(size / similarity + 1e-9), similarity * size - 1e-9
+    own = [i for i, value in enumerate(values) if value in item]
+    best, last = None, 0
+    for number, a in enumerate(own):
+        while last < len(own) and own[last] < a + longest:
+            last += 1
+        if last - number < least:
+            continue
+        left, both = dict(item), 0
+        for z in own[number:last]:
+            value = values[z]
+            if left[value]:
+                left[value] -= 1
+                both += 1
+                reached = both / (z + 1 - a + size - both)
+                if reached >= similarity and (best is None or reached > best[0]):
+                    best = reached, a
+    return best
+
+
+def _regions(found: set[tuple[int, int, int]], bench: Benchmark, similarity: float) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, first, last + 1 shingle) around candidates; those of an item that overlap are one."""
+    now = None
+    for d, item, begin in sorted(found):
+        size = len(bench.hashes[item])
+        reach = int(size / similarity) - size + 5
+        a, z = begin - reach, begin + size + reach
+        if now and now[:2] == (d, item) and a <= now[3]:
+            now = d, item, now[2], z
+        else:
+            if now:
+                yield now
+            now = d, item, a, z
+    if now:
+        yield now
+
+
+def leaks_of(
+    texts: pa.Array, bench: Benchmark, similarity: float, radius: int, any_length: bool = False
+) -> list[list[dict]]:
+    """For each text: its best passage for every item that reaches the similarity.
+
+    Passages are as long as the item, or of ``any_length``, as the operator asks for.
+    """
     out: list[list[dict]] = [[] for _ in range(len(texts))]
     if not bench.sizes:
         return out
@@ -153,7 +206,8 @@ def leaks_of(texts: pa.Array, bench: Benchmark, similarity: float, radius: int)
             continue
         bounds = np.searchsorted(doc, np.arange(len(offsets)))
         best: dict[tuple[int, int], tuple[float, int]] = {}
-        for d, item, begin in _candidates(h, doc, bench, radius):
+        found = _candidates(h, doc, bench, radius)
+        for d, item, begin in () if any_length else found:
             for start in range(begin - 4, begin + 5):
                 a, z = max(start, int(bounds[d])), min(start + len(bench.hashes[item]), int(bounds[d + 1]))
                 if a >= z:
@@ -161,6 +215,11 @@ def leaks_of(texts: pa.Array, bench: Benchmark, similarity: float, radius: int)
                 value = weighted_similarity(Counter(h[a:z].tolist()), counts[item])
                 if value >= similarity and (value, -a) > best.get((d, item), (0.0, 0)):
                     best[d, item] = (value, -a)
+        for d, item, a, z in _regions(found, bench, similarity) if any_length else ():
+            a, z = max(a, int(bounds[d])), min(z, int(bounds[d + 1]))
+            reached = best_passage(h[a:z], counts[item], similarity) if a < z else None
+            if reached and (reached[0], -a - reached[1]) > best.get((d, item), (0.0, 0)):
+                best[d, item] = reached[0], -a - reached[1]
         starts = np.searchsorted(words.doc, np.arange(len(offsets)))
         for (d, item), (value, a) in sorted(best.items()):
             leak = {"item_id": bench.ids[item], "similarity": value, "first_word": int(word[-a] - starts[d])}
@@ -194,7 +253,7 @@ def find_leaks(
     found, columns = docs, docs.columns
     for number in range(slices):
         part = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(slices)) == number).collect()
-        bench = build_benchmark([row["id"] for row in part], [row["text"] for row in part], k, block_bits)
+        bench = build_benchmark([row["id"] for row in part], [row["text"] for row in part], k, block_bits, similarity)
         found = _with_leaks(found, bench, text, columns, name, similarity, 4 * block_bits + 3)
     return found
 
@@ -209,7 +268,7 @@ def _with_leaks(
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("first_word", pa.int64())]))
 
     def search(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = leaks_of(batch.column(at), shared.value, similarity, radius)
+        found = leaks_of(batch.column(at), shared.value, similarity, radius, any_length=True)
         if again:
             found = [[*old, *new] for old, new in zip(batch.column(len(columns)).to_pylist(), found, strict=True)]
         yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(found, kind)], [*columns, name])

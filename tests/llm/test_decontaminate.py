@@ -103,3 +103,47 @@ def test_table_nulls_repeats_clashing_columns_and_slices(spark, bench):
     assert sorted(r.doc_id for r in D.drop_contaminated(docs, items).collect()) == [3, 4]
     assert D.drop_contaminated(docs, items.limit(0)).count() == 6
     assert D.find_leaks(docs.limit(0), items).collect() == []
+
+
+def slow_best(text, item, k=5):
+    """Best similarity of all passages of all lengths."""
+    t, i = text.split(), item.split()
+    return max(similarity(t[a:z], i) for a in range(len(t) - k + 1) for z in range(a + k, min(len(t), a + 2 * len(i)) + 1))
+
+
+def test_shortened_and_shifted_copies_against_all_passages(bench):
+    rng, some = random.Random(9), [x for x in bench[3:10]]
+    built = D.build_benchmark([i for i, _ in bench], [t for _, t in bench])
+    texts, wanted, cut = [], [], []
+    for _ in range(60):
+        number, item = some[rng.randrange(len(some))]
+        passage = item.split()
+        kind = rng.randrange(3)
+        if kind == 0:
+            n = rng.randrange(1 + (len(passage) - 4) // 5)
+            left = rng.randrange(n + 1)
+            passage = passage[left : len(passage) - (n - left)]
+        elif kind == 1:
+            at = rng.randrange(len(passage))
+            passage[at:at] = words(rng, rng.randrange(1, 4))
+        else:
+            at = rng.randrange(len(passage))
+            del passage[at : at + rng.randrange(1, 4)]
+        texts.append(" ".join([*words(rng, rng.randrange(20)), *passage, *words(rng, rng.randrange(20))]))
+        wanted.append({number: v} if (v := slow_best(texts[-1], item)) >= 0.8 else {})
+        cut.append(kind == 0)
+    found = [{leak["item_id"]: leak["similarity"] for leak in x} for x in D.leaks_of(pa.array(texts), built, 0.8, 11, any_length=True)]
+    assert all(abs(w.get(i, 0) - v) < 1e-9 for f, w in zip(found, wanted, strict=True) for i, v in f.items())
+    assert all(f.keys() == w.keys() for f, w, whole in zip(found, wanted, cut, strict=True) if whole), "runs are always found"
+    print("found", sum(map(len, found)), "of", sum(map(len, wanted)))
+    assert sum(map(len, found)) >= 0.97 * sum(map(len, wanted)) > 20
+
+
+def test_first_words_of_an_item_within_a_longer_text():
+    rng = random.Random(10)
+    item = words(rng, 50)
+    built = D.build_benchmark([1], [" ".join(item)])
+    for before in range(12):
+        text = " ".join([*words(rng, before), *item[:42], *words(rng, 60)])
+        (leak,) = D.leaks_of(pa.array([text]), built, 0.8, 11, any_length=True)[0]
+        assert abs(leak["similarity"] - 38 / 46) < 1e-9 and leak["first_word"] == before

@@ -29,17 +29,28 @@ def _digest(line: Column) -> Column:
 
 
 def boilerplate(
-    pages: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES
+    pages: DataFrame,
+    host: str = "source",
+    text: str = "text",
+    ratio: float = RATIO,
+    least_pages: int = LEAST_PAGES,
+    copies_once: bool = False,
 ) -> DataFrame:
     """``host, lines``: the digests of the boilerplate lines of each host that has any.
 
     A host has less than (mean number of different lines of its pages) / ``ratio`` of them, so the lists
     are short. Pages are counted before the shuffle: a hot host, or a hot line, is as many rows as tasks.
+    ``copies_once`` counts the equal texts of a host as one page; the digests of their lines are shuffled.
     """
     rows = pages.select(F.col(host).alias("host"), F.col(text).alias("text")).filter("host is not null")
-    totals = rows.groupBy("host").agg(F.count("*").alias("total"))
     lines = F.array_distinct(F.filter(F.transform(_lines(F.col("text")), F.trim), lambda line: line != ""))
-    seen = rows.select("host", F.explode(lines).alias("line")).select("host", _digest(F.col("line")).alias("line"))
+    if copies_once:
+        digests = rows.select("host", _digest(F.col("text")).alias("page"), F.transform(lines, _digest).alias("lines"))
+        rows = stored(digests.groupBy("host", "page").agg(F.first("lines").alias("lines")), "different_pages")
+        seen = rows.select("host", F.explode("lines").alias("line"))
+    else:
+        seen = rows.select("host", F.explode(lines).alias("line")).select("host", _digest(F.col("line")).alias("line"))
+    totals = rows.groupBy("host").agg(F.count("*").alias("total"))
     counts = seen.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages)
     # One row per host; the line counts are the larger side and are spread by their line.
     if measured_bytes(totals) <= BROADCAST_BYTES:
@@ -56,15 +67,16 @@ def drop_boilerplate(
     ratio: float = RATIO,
     least_pages: int = LEAST_PAGES,
     dropped: str = "dropped_lines",
+    copies_once: bool = False,
 ) -> DataFrame:
     """``pages`` with the boilerplate lines taken out of ``text``, and their number as a further column.
 
     Lines end at ``\\n`` and are compared trimmed of blanks; blank lines are never boilerplate. What is
     left is joined by ``\\n`` as it was. A text of boilerplate only becomes empty; its row stays. A null
     text stays null; rows without a host are of no site and stay as they are. A repeated row counts as a
-    page of its own. Further columns pass through; if ``dropped_lines`` is taken, dropped_lines_2 is used.
+    page of its own, unless ``copies_once``: then the equal texts of a host count as one page. Further columns pass through; if ``dropped_lines`` is taken, dropped_lines_2 is used.
     """
-    found = stored(boilerplate(pages, host, text, ratio, least_pages), "boilerplate")
+    found = stored(boilerplate(pages, host, text, ratio, least_pages, copies_once), "boilerplate")
     count, key, lines = (free_name(pages.columns, name) for name in (dropped, "host_key", "host_lines"))
     found = found.select(F.col("host").alias(key), F.col("lines").alias(lines))
     if measured_bytes(found) <= BROADCAST_BYTES:

@@ -23,8 +23,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines out of every text; no document goes. ``n_chars`` counts what is left."""
-    cleaned = line_dedup.drop_boilerplate(docs).select(*docs.columns)
+    """Boilerplate lines out of every text; no document goes. ``n_chars`` counts what is left.
+
+    Copies of a document in its source count once, so that they do not empty each other.
+    """
+    cleaned = line_dedup.drop_boilerplate(docs, copies_once=True).select(*docs.columns)
     return cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 

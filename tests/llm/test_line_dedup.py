@@ -64,3 +64,20 @@ def test_clashing_columns_and_empty_table(spark, docs):
 
 def test_no_python_in_the_plan(docs, plan):
     assert "Python" not in plan(L.drop_boilerplate(docs)) and "Python" not in plan(L.boilerplate(docs))
+
+
+def test_copies_of_a_document_keep_its_lines_in_the_pipeline(spark):
+    import corpus_pipeline
+
+    rows = [(i, f"Menu\nown {i}", "a", 0) for i in range(20)] + [(100 + i, "Menu\nfirst\nsecond", "a", 0) for i in range(10)]
+    rows += [(200 + i, "short\ncopy", "b", 0) for i in range(5)] + [(300, None, "b", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.drop_lines(spark, docs, "").collect()}
+    assert all(got[100 + i] == ("first\nsecond", 12) for i in range(10)) and got[3] == ("own 3", 5)
+    assert all(got[200 + i] == ("short\ncopy", 10) for i in range(5)) and got[300] == (None, None)
+
+
+def test_copies_once_without_copies(spark):
+    rows = [(i, text and f"{text}\n#{i}", host) for i, (_, text, host) in enumerate(ROWS) if text]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert rows_of(L.drop_boilerplate(docs, copies_once=True)) == rows_of(L.drop_boilerplate(docs)) == slow(rows)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asiento.llm import byte_bpe, chat, decontaminate, embedding_dedup, language_model, licenses, line_dedup, main_text
-from asiento.llm import simhash_dedup, toxicity
+from asiento.llm import packing, ranked_search, simhash_dedup, toxicity, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,14 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+@lru_cache
+def tokenizer_file() -> tuple[str, str]:
+    """The same vocabulary as a tokenizer file, and its pattern."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are never used; a null id counts as an empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
@@ -92,6 +100,21 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(_table(spark, sf_dir, "documents"), *tokenizer_file())
+    length = F.expr("octet_length(ids) div 4").alias("length")
+    digest = F.crc32("ids").alias("ids_crc32")
+    return packed.select("doc_id", "start", length, digest, "doc_tokens", "sequence_id", "offset")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -111,10 +134,16 @@ QUERIES = {
         op8_chat_formatting,
         op9_toxicity,
         op10_simhash_near_dedup,
+        op11_embedding_whitening,
+        op12_ranked_search,
+        op13_packing,
         pipeline,
     )
 }
 
+_TERMS = r"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"""
+
 #: Documents of a source share a site: lines on over a tenth of its documents, and on five at least, go.
 ORACLE = {
     "op6_line_dedup": f"""
@@ -138,4 +167,20 @@ ORACLE = {
             CASE WHEN lines IS NULL OR text IS NULL THEN text ELSE coalesce(array_to_string(kept, chr(10)), '') END AS text,
             CASE WHEN lines IS NULL OR text IS NULL THEN 0 ELSE len(parts) - len(kept) END::INT AS dropped_lines
         FROM cut""",
+    "op12_ranked_search": f"""
+        WITH tf AS (
+            SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {_TERMS} AS term FROM documents) GROUP BY doc_id, term
+        ), lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+        totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+        norms AS (SELECT doc_id, 100 - 50 + ((50 * n * docs) // terms) AS m FROM lengths, totals),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+            FROM tf, totals GROUP BY term
+        ), asked AS (SELECT DISTINCT item_id, {_TERMS} AS term FROM benchmark),
+        scored AS (
+            SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN norms USING (doc_id) GROUP BY item_id, doc_id
+        )
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= {ranked_search.TOP}""",
 }

@@ -76,12 +76,10 @@ def dimension_join(
     return spread_join(left, right, keys, spread_by, how)
 
 
-def prefilter(left: DataFrame, right: DataFrame, keys: Sequence[str], max_slots: int = FILTER_SLOTS) -> DataFrame:
-    """Rows of ``left`` whose key may be among those of ``right``, without a shuffle of ``left``.
+def _with_bits(left: DataFrame, right: DataFrame, keys: Sequence[str], max_slots: int, how: str) -> DataFrame:
+    """``left`` with ``_found``: whether the bit of its key is set in a table of the keys of ``right``.
 
-    The keys of ``right`` are hashed to the bits of a table of words, about 16 bits to a key, which is
-    sent to every executor. It never has more than ``max_slots`` bits, however many keys there are: then
-    more rows pass. Those that pass by chance fall out of the exact join that follows.
+    The table has about 16 bits to a key, and never more than ``max_slots``.
     """
     slots = 1 << 10
     while slots < min(max_slots, 16 * right.count()):
@@ -91,8 +89,32 @@ def prefilter(left: DataFrame, right: DataFrame, keys: Sequence[str], max_slots:
     marked = right.select(slot.alias("_slot")).select(word_of("_slot").alias("_word"), bit.alias("_bit"))
     words = marked.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
     probed = left.withColumn("_slot", slot).withColumn("_word", word_of("_slot"))
-    found = probed.join(F.broadcast(words), "_word").filter(F.col("_bits").bitwiseAND(bit) != 0)
-    return found.select(*left.columns)
+    found = F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False)).alias("_found")
+    return probed.join(F.broadcast(words), "_word", how).select(*left.columns, found)
+
+
+def prefilter(left: DataFrame, right: DataFrame, keys: Sequence[str], max_slots: int = FILTER_SLOTS) -> DataFrame:
+    """Rows of ``left`` whose key may be among those of ``right``, without a shuffle of ``left``.
+
+    The keys of ``right`` are hashed to the bits of a bounded table that is sent to every executor: with more
+    keys than it has room for, more rows pass. Those that pass by chance fall out of the exact join that follows.
+    """
+    return _with_bits(left, right, keys, max_slots, "inner").filter("_found").drop("_found")
+
+
+def exclude_in_place(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], max_bytes: int = BROADCAST_BYTES, max_slots: int = FILTER_SLOTS
+) -> DataFrame:
+    """Rows of ``left`` whose key is not among the distinct ones of ``right``; no key is null.
+
+    ``right`` is broadcast if its measured size allows. Otherwise only rows whose key may be there are
+    shuffled, those of one key over several tasks.
+    """
+    if measured_bytes(right) <= max_bytes:
+        return left.join(F.broadcast(right.select(*keys)), list(keys), "left_anti").select(*left.columns)
+    probed = _with_bits(left, right, keys, max_slots, "left").withColumn("_task", F.spark_partition_id())
+    maybe = spread_join(probed.filter("_found"), right.select(*keys), keys, ["_task"], "left_anti")
+    return probed.filter("not _found").unionByName(maybe).select(*left.columns)
 
 
 def word_of(slot: str) -> Column:

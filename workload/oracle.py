@@ -228,6 +228,16 @@ FROM customer""",
 SELECT doc_id, lang, source FROM documents
 WHERE NOT (contains(lower(text), 'ertion') OR contains(lower(text), 'eaux')
            OR contains(lower(text), 'und d') OR contains(lower(text), 'entre'))""",
+    "exclude_many_phrases": """
+WITH words AS (
+  SELECT string_split(lower(text), ' ') AS w FROM conversations
+  UNION ALL SELECT string_split(lower(text), ' ') FROM benchmark
+), phrases AS (
+  SELECT DISTINCT w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS phrase
+  FROM (SELECT w, unnest(range(1, len(w) - 1)) AS i FROM words)
+)
+SELECT doc_id, lang, source FROM documents AS d
+WHERE NOT EXISTS (SELECT 1 FROM phrases AS p WHERE contains(lower(d.text), p.phrase))""",
     "date_bounded_filings": f"""
 WITH {_F}
 SELECT company_id, filing_pos, CASE WHEN k % 37 = 0 THEN '' ELSE strftime(moment, '%d/%m/%Y') END AS submitted

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import date
@@ -20,6 +19,7 @@ from asiento.plans.batch import page_items
 from asiento.plans.staging import Staging
 from asiento.sinks.bundle import export_tables, write_partitions
 from asiento.sources.pages import parse_pages, wanted_ids
+from asiento.storage import shared_folder
 from workload import shapes
 from workload.oracle import NULL
 
@@ -136,6 +136,20 @@ def exclude_documents(spark, sf_dir):
     return A.exclude_phrases(documents, DOCUMENT_PHRASES, "text").select("doc_id", "lang", "source")
 
 
+def three_words(spark, sf_dir):
+    """All runs of three words of the conversations and the benchmark, as ``phrase``."""
+    texts = shapes.table(spark, sf_dir, "conversations").select("text").unionByName(shapes.table(spark, sf_dir, "benchmark").select("text"))
+    words = texts.select(F.split(F.lower("text"), " ").alias("w")).filter(F.size("w") > 2)
+    runs = F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.array_join(F.slice("w", i, F.lit(3)), " "))
+    return words.select(F.explode(runs).alias("phrase")).distinct()
+
+
+def exclude_many_phrases(spark, sf_dir):
+    """Documents without any of tens of thousands of phrases."""
+    documents = shapes.table(spark, sf_dir, "documents")
+    return A.exclude_phrases(documents, three_words(spark, sf_dir), "text").select("doc_id", "lang", "source")
+
+
 def date_bounded_filings(spark, sf_dir):
     kept = A.filter_by_date(_filings(spark, sf_dir), DATE_FROM, DATE_TO)
     day = C.es_timestamp("submission_date")
@@ -282,7 +296,7 @@ def display_format(spark, sf_dir):
 
 def run_report(spark, sf_dir):
     """Counters of a run, over steps that are stored as a run stores them."""
-    staging = Staging(spark, tempfile.gettempdir())
+    staging = Staging(spark, shared_folder(spark))
     found = staging.store(A.exclude_phrases(shapes.filings(spark, sf_dir), A.EXCLUDED_PHRASES), "found")
     chosen = staging.store(A.drop_separate_duplicates(found), "chosen")
     lines = shapes.concepts(spark, sf_dir)
@@ -347,8 +361,7 @@ def failed_captures(spark, sf_dir):
 
 def _written(spark, name):
     """A new folder for what a query writes and reads again: below the shared one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def registry_csv(spark, sf_dir):
@@ -392,6 +405,7 @@ QUERIES: dict[str, Query] = {
         first_non_empty,
         exclude_filings,
         exclude_documents,
+        exclude_many_phrases,
         date_bounded_filings,
         listing_requests,
         index_rows,

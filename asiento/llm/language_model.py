@@ -7,15 +7,18 @@ in order of frequency and cut into classes; a class is predicted, and then a uni
 Within a group a word's probability is its share of the corpus counts: those of the most frequent words are
 sent to the tasks, all others are joined from the stored table of counts.
 
-Counts cover all documents. The network is trained in numpy by the tasks that read the documents, in each round
-on another ``EVERY``-th position of all of them, and the tasks' networks are averaged by Spark, round by round.
-There are as many rounds as that, so each position trains once.
+Counts cover all documents. Texts are read once more, to units that are stored. The network is trained in numpy on
+shards of the documents, in each round on another ``EVERY``-th position of all of them, and the shards' networks are
+averaged by Spark, round by round. There are as many rounds as that, so each position trains once. Shards
+come from hashes of the rows, not from partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,10 @@ SIDES = (-2, -1, 1, 2)
 WIDTH, HIDDEN, CLASS = 8, 24, 64
 #: Training: rounds over the documents, share of positions in a round, size of a gradient step, its step.
 ROUNDS, EVERY, BATCH, STEP = 2, 2, 2048, 0.1
-_BLOCK = 1 << 15
+#: Words of a shard, which is trained in order.
+SHARD_WORDS = 2_000_000
+#: Words whose neighbours are looked up, and words that are scored, at a time.
+_BLOCK, _STEP = 1 << 15, 1 << 13
 
 
 @dataclass
@@ -141,6 +147,8 @@ class Network:
 
     def log_probabilities(self, around: np.ndarray, unit: np.ndarray) -> np.ndarray:
         """Log-probability of each unit given the units around it (one row per side)."""
+        order, classes, runs = _by_class(unit)
+        around, unit = around[:, order], unit[order]
         tables = np.matmul(self.embedding, self.hidden).astype(np.float32)
         hidden = tables[0][around[0]]
         for side in range(1, len(SIDES)):
@@ -149,10 +157,11 @@ class Network:
         np.tanh(hidden, out=hidden)
         logits = hidden @ self.classes.astype(np.float32)
         logits += self.class_bias.astype(np.float32)
-        out = _chosen(logits, unit // CLASS)
-        output, bias = self.output.astype(np.float32), self.output_bias.astype(np.float32)
-        for c, at in _by_class(unit):
-            out[at] += _chosen(hidden[at] @ output[c] + bias[c], unit[at] % CLASS)
+        output, within = self.output.astype(np.float32), self.output_bias.astype(np.float32)[classes]
+        for c, first, last in runs:
+            within[first:last] += hidden[first:last] @ output[c]
+        out = np.empty(len(unit))
+        out[order] = _chosen(logits, classes) + _chosen(within, unit % CLASS)
         return out
 
     def learn(self, around: np.ndarray, unit: np.ndarray, step: float, past: list[np.ndarray] | None = None) -> None:
@@ -165,35 +174,41 @@ class Network:
 
     def _slopes(self, around: np.ndarray, unit: np.ndarray) -> list[np.ndarray]:
         """Mean gradient of the cross entropy, by part."""
-        n = len(unit)
-        x = self.embedding[around]  # (sides, n, WIDTH)
-        flat = x.transpose(1, 0, 2).reshape(n, -1)
+        n, kind = len(unit), self.embedding.dtype.type
+        order, classes, runs = _by_class(unit)
+        around, unit = around.T[order], unit[order]
+        flat = self.embedding[around].reshape(n, -1)
         hidden = np.tanh(flat @ self.hidden.reshape(-1, HIDDEN) + self.hidden_bias)
-        p = _errors(hidden @ self.classes + self.class_bias, unit // CLASS) / n
+        p = _errors(hidden @ self.classes + self.class_bias, classes) / kind(n)
         back = p @ self.classes.T
+        q = self.output_bias[classes]
+        for c, first, last in runs:
+            q[first:last] += hidden[first:last] @ self.output[c]
+        q = _errors(q, unit % CLASS) / kind(n)
         output, output_bias = np.zeros_like(self.output), np.zeros_like(self.output_bias)
-        for c, at in _by_class(unit):
-            own = hidden[at]
-            q = _errors(own @ self.output[c] + self.output_bias[c], unit[at] % CLASS) / n
-            output[c], output_bias[c] = own.T @ q, q.sum(axis=0)
-            back[at] += q @ self.output[c].T
+        for c, first, last in runs:
+            own = q[first:last]
+            np.dot(hidden[first:last].T, own, out=output[c])
+            back[first:last] += own @ self.output[c].T
+        if runs:
+            output_bias[[c for c, _, _ in runs]] = np.add.reduceat(q, [first for _, first, _ in runs], axis=0)
         back *= 1 - hidden**2
-        inward = (back @ self.hidden.reshape(-1, HIDDEN).T).reshape(n, len(SIDES), WIDTH).transpose(1, 0, 2)
-        sides, columns = around.ravel(), np.ascontiguousarray(inward.reshape(-1, WIDTH).T)
-        embedding = np.zeros_like(self.embedding)
-        for k, column in enumerate(columns):
+        inward = (back @ self.hidden.reshape(-1, HIDDEN).T).reshape(-1, WIDTH)
+        sides, embedding = around.ravel(), np.zeros_like(self.embedding)
+        for k, column in enumerate(np.ascontiguousarray(inward.T)):
             embedding[:, k] = np.bincount(sides, column, len(embedding))
         inner = (flat.T @ back).reshape(self.hidden.shape)
         return [embedding, inner, back.sum(axis=0), hidden.T @ p, p.sum(axis=0), output, output_bias]
 
 
-def _by_class(unit: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each class that occurs and where."""
+def _by_class(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """The order that puts units of a class together, their classes in it, and (class, first, last + 1) of each."""
     classes = (unit // CLASS).astype(np.int16)
     order = np.argsort(classes, kind="stable")
     classes = classes[order]
-    first = np.flatnonzero(np.append(True, classes[1:] != classes[:-1])[: len(classes)])
-    yield from zip(classes[first].tolist(), np.split(order, first[1:]), strict=True) if len(unit) else ()
+    first = np.flatnonzero(np.diff(classes, prepend=-1))
+    last = np.append(first[1:], len(classes))[: len(first)]
+    return order, classes, list(zip(classes[first].tolist(), first.tolist(), last.tolist(), strict=True))
 
 
 def _chosen(logits: np.ndarray, which: np.ndarray) -> np.ndarray:
@@ -206,16 +221,17 @@ def _chosen(logits: np.ndarray, which: np.ndarray) -> np.ndarray:
 
 
 def _errors(logits: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """Softmax less one at the right place of each row."""
-    p = np.exp(logits - logits.max(axis=1, keepdims=True))
-    p /= p.sum(axis=1, keepdims=True)
-    p[np.arange(len(which)), which] -= 1
-    return p
+    """Softmax less one at the right place of each row; ``logits`` are overwritten."""
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    logits[np.arange(len(which)), which] -= 1
+    return logits
 
 
 def _around(unit: np.ndarray, doc: np.ndarray, beyond: int) -> np.ndarray:
     """Units at the four sides of each word; ``beyond`` outside its text."""
-    out = np.full((len(SIDES), len(unit)), beyond, dtype=np.int64)
+    out = np.full((len(SIDES), len(unit)), beyond, dtype=np.int32)
     for row, side in zip(out, SIDES, strict=True):
         k = abs(side)
         if k < len(unit):
@@ -230,35 +246,96 @@ def chosen_positions(h: np.ndarray, every: int, number: int) -> np.ndarray:
     return np.flatnonzero(residue == np.uint64(number % every))
 
 
-def train_network(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", rounds: int = ROUNDS, every: int = EVERY) -> Network:
-    """Each task trains on its documents from the last round's mean; Spark takes the mean by positions."""
+def encode_texts(
+    texts: pa.Array, vocabulary: Vocabulary, others: list | None = None
+) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Units of each text as bytes (16 bits each), their number, and the summed log shares of the words.
+
+    Words that are not kept count as the mean of their group. If a list ``others`` is given, they count as
+    seen once, and it gets ``(text, word, times)`` arrays of them: times * log(corpus count) is missing.
+    """
+    n, total, units = np.zeros(len(texts), np.int64), np.zeros(len(texts)), [b""]
+    for first, last, data, offsets in text_blocks(texts):
+        found = hashed_words(data, offsets)
+        unit, share = vocabulary.lookup(found.hash)
+        if others is not None:
+            other = np.flatnonzero(~vocabulary.find(found.hash)[1])
+            share[other] = -np.log(vocabulary.counts[unit[other]] + 1)
+            order = other[np.lexsort((found.hash[other], found.doc[other]))]
+            h, doc = found.hash[order], found.doc[order]
+            new = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))[: len(h)])
+            others.append((doc[new] + first, h[new], np.diff(np.append(new, len(h)))))
+        units.append(unit.astype("<i2").tobytes())
+        n[first:last] += np.bincount(found.doc, minlength=last - first)
+        total[first:last] += np.bincount(found.doc, share, last - first)
+    ends = np.append(0, 2 * np.cumsum(n)).astype(np.int64)
+    packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(units))])
+    return packed.cast(pa.binary()), n, total
+
+
+def _unit_blocks(units: Iterator[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Units of successive texts, and the number of the text of each, about ``_BLOCK`` at a time."""
+    parts, size = [], 0
+    for packed in units:
+        parts.append(np.frombuffer(packed, "<i2"))
+        size += len(parts[-1])
+        if size >= _BLOCK:
+            yield np.concatenate(parts).astype(np.int64), np.repeat(np.arange(len(parts)), list(map(len, parts)))
+            parts, size = [], 0
+    if size:
+        yield np.concatenate(parts).astype(np.int64), np.repeat(np.arange(len(parts)), list(map(len, parts)))
+
+
+def score_units(packed: pa.Array, network: Network, beyond: int) -> np.ndarray:
+    """Summed log-probability of the units of each text."""
+    lengths = np.array([len(p.as_buffer()) // 2 for p in packed], np.int64)
+    values = [np.zeros(0)]
+    for unit, doc in _unit_blocks(p.as_buffer() for p in packed):
+        around = _around(unit, doc, beyond)
+        for at in range(0, len(unit), _STEP):
+            part = slice(at, at + _STEP)
+            values.append(network.log_probabilities(around[:, part], unit[part]))
+    sums = np.bincount(np.repeat(np.arange(len(lengths)), lengths), np.concatenate(values), len(lengths))
+    return sums.astype(np.float64)  # without any unit they are whole numbers
+
+
+def train_network(encoded: DataFrame, vocabulary: Vocabulary, words: int, rounds: int = ROUNDS, every: int = EVERY) -> Network:
+    """The mean, by positions, of networks trained on the shards of ``encoded`` (``shard, place, units``), round by round.
+
+    Shards are as many as the words ask for, and what lies in them and in what order comes from the rows
+    themselves: the network is the same however the table is partitioned.
+    """
     network = Network.start(vocabulary.counts)
-    spark = docs.sparkSession
+    spark = encoded.sparkSession
+    shards = max(1, round(words / SHARD_WORDS))
+    dealt = encoded.select(F.pmod("shard", F.lit(shards)).alias("shard"), "place", "units")
     for number in range(rounds):
-        shared = spark.sparkContext.broadcast((network, vocabulary))  # about 3 MB, whatever the corpus
+        shared = spark.sparkContext.broadcast((network, vocabulary.units))  # about 1 MB, whatever the corpus
 
         def learn(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
-            first, words = shared.value
-            own, seen = first.with_values(first.flat().astype(np.float32)), 0
-            past = [np.zeros_like(part) for part in own.parts()]
-            for batch in batches:
-                for _, _, data, offsets in text_blocks(batch.column(0)):
-                    found = hashed_words(data, offsets)
-                    unit, _ = words.lookup(found.hash)
-                    around = _around(unit, found.doc, words.units)
-                    chosen = chosen_positions(found.hash, every, number)
+            first, beyond = shared.value
+            total, seen = np.zeros(len(first.flat())), 0
+            rows = ((shard, packed.as_buffer()) for b in batches for shard, packed in zip(b.column(0).to_pylist(), b.column(1), strict=True))
+            for _, of_shard in groupby(rows, key=itemgetter(0)):
+                own, trained = first.with_values(first.flat().astype(np.float32)), 0
+                past = [np.zeros_like(part) for part in own.parts()]
+                for unit, doc in _unit_blocks(packed for _, packed in of_shard):
+                    around = _around(unit, doc, beyond)
+                    chosen = chosen_positions(unit.astype(np.uint64), every, number)
                     for at in range(0, len(chosen), BATCH):
                         part = chosen[at : at + BATCH]
                         own.learn(around[:, part], unit[part], STEP, past)
-                    seen += len(chosen)
-            values = own.flat()
-            for at in range(0, len(values) if seen else 0, 1 << 14):
-                part = values[at : at + (1 << 14)].astype(np.float32)
+                    trained += len(chosen)
+                total += trained * own.flat().astype(np.float64)
+                seen += trained
+            for at in range(0, len(total) if seen else 0, 1 << 14):
+                part = total[at : at + (1 << 14)]
                 columns = np.arange(at, at + len(part), dtype=np.int32), part, np.full(len(part), seen)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["at", "value", "n"])
 
-        parts = small_batches(docs.select(text)).mapInArrow(learn, "at int, value float, n long")
-        mean = parts.groupBy("at").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("value"))
+        ordered = small_batches(dealt.repartition("shard").sortWithinPartitions("shard", "place").select("shard", "units"))
+        parts = ordered.mapInArrow(learn, "at int, value double, n long")
+        mean = parts.groupBy("at").agg((F.sum("value") / F.sum("n")).alias("value"))
         rows = mean.toArrow()  # as many rows as the network has weights
         if len(rows):
             values = np.zeros(len(rows))
@@ -267,33 +344,34 @@ def train_network(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", r
     return network
 
 
-def score_texts(
-    texts: pa.Array, network: Network, vocabulary: Vocabulary, others: list | None = None
-) -> tuple[np.ndarray, np.ndarray]:
-    """Number of words and summed log-probability of each text.
+def score_texts(texts: pa.Array, network: Network, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Number of words and summed log-probability of each text; words not kept count as the mean of their group."""
+    packed, n, share = encode_texts(texts, vocabulary)
+    return n, score_units(packed, network, vocabulary.units) + share
 
-    Words that are not kept count as the mean of their group. If a list ``others`` is given, they count as
-    seen once, and it gets ``(text, word, times)`` arrays of them: times * log(corpus count) is missing.
-    """
-    n, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-    for first, last, data, offsets in text_blocks(texts):
-        found = hashed_words(data, offsets)
-        unit, share = vocabulary.lookup(found.hash)
-        if others is not None:
-            other = np.flatnonzero(~vocabulary.find(found.hash)[1])
-            share[other] = -np.log(vocabulary.counts[unit[other]] + 1)
-            order = other[np.lexsort((found.hash[other], found.doc[other]))]
-            h, doc = found.hash[order], found.doc[order]
-            new = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))[: len(h)])
-            others.append((doc[new] + first, h[new], np.diff(np.append(new, len(h)))))
-        around = _around(unit, found.doc, vocabulary.units)
-        value = np.empty(len(unit))
-        for at in range(0, len(unit), _BLOCK):
-            part = slice(at, at + _BLOCK)
-            value[part] = network.log_probabilities(around[:, part], unit[part])
-        n[first:last] += np.bincount(found.doc, minlength=last - first)
-        total[first:last] += np.bincount(found.doc, value + share, last - first)
-    return n, total
+
+def _encoded(docs: DataFrame, vocabulary: Vocabulary, text: str, names: dict[str, str]) -> DataFrame:
+    """``docs`` with the units of each text, what places it in a shard, and the words that are not kept; stored."""
+    at = [c.lower() for c in docs.columns].index(text.lower())
+    hashed = [F.col(f"`{name}`") for name, kind in docs.dtypes if "map<" not in kind]
+    # Copies of a text differ in another column, as a rule, and are spread.
+    marked = docs.withColumns({names["shard"]: F.xxhash64(*hashed), names["place"]: F.xxhash64(F.lit(1), *hashed)})
+    marked = marked.withColumn(names["row"], F.monotonically_increasing_id())
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    given = marked.columns
+    added = [names[k] for k in ("units", "n", "share", "others")]
+
+    def encode(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        found: list = []
+        units, n, share = encode_texts(batch.column(at), shared.value, None if shared.value.whole else found)
+        doc, h, times = map(np.concatenate, zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 3
+        values = pa.StructArray.from_arrays([pa.array(h.view(np.int64)), pa.array(times)], ["word", "times"])
+        others = pa.ListArray.from_arrays(np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32), values)
+        yield pa.RecordBatch.from_arrays([*batch.columns, units, pa.array(n), pa.array(share), others], [*given, *added])
+
+    kinds = ("binary", "long", "double", "array<struct<word:bigint,times:bigint>>")
+    schema = marked.select("*", *[F.lit(None).cast(kind).alias(name) for name, kind in zip(added, kinds, strict=True)]).schema
+    return stored(map_batches(marked, encode, schema), "encoded")
 
 
 def score_documents(
@@ -301,50 +379,52 @@ def score_documents(
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``log_probability`` (the sum) and ``mean_log_probability`` of each text.
 
-    The model is fitted on ``training``, by default ``docs`` itself. Words are runs of ASCII letters and
-    digits (case-insensitive) and of other non-ASCII characters. A text without a word has the sum 0 and a
-    null mean; a null text is empty; repeated rows count as often as they come. All columns pass through;
-    names that are taken get a number.
+    The model is fitted on ``training``, by default ``docs`` itself, and is the same however that is
+    partitioned. Words are runs of ASCII letters and digits (case-insensitive) and of other non-ASCII
+    characters. A text without a word has the sum 0 and a null mean; a null text is empty; repeated rows count
+    as often as they come; no rows give no rows. All columns pass through; names that are taken get a number.
     """
     corpus = docs if training is None else training
     counts = stored(count_words(corpus, text), "word_counts")
     vocabulary = build_vocabulary(counts)
-    network = train_network(corpus, vocabulary, text, rounds, every)
-    shared = docs.sparkSession.sparkContext.broadcast((network, vocabulary))
-    columns = docs.columns
-    names = [free_name(columns, name) for name in ("n_words", "log_probability", "mean_log_probability")]
-    at = [c.lower() for c in columns].index(text.lower())
-    n, total, mean = names
-    row, others = (free_name([*columns, *names], name) for name in ("row", "others"))
-    numbered = docs if vocabulary.whole else docs.withColumn(row, F.monotonically_increasing_id())
-    added = [] if vocabulary.whole else [others]
-    given = numbered.columns
+    results = {name: free_name(docs.columns, name) for name in ("n_words", "log_probability", "mean_log_probability")}
+
+    def names_beside(columns: list[str]) -> dict[str, str]:
+        inner = ("shard", "place", "row", "units", "n", "share", "others")
+        return {name: free_name([*columns, *results.values()], name) for name in inner}
+
+    names = names_beside(docs.columns)
+    encoded = _encoded(docs, vocabulary, text, names)
+    if training is None:
+        learned, of = encoded, names
+    else:
+        of = names_beside(training.columns)
+        learned = _encoded(training, vocabulary, text, of)
+    learned = learned.select(F.col(of["shard"]).alias("shard"), F.col(of["place"]).alias("place"), F.col(of["units"]).alias("units"))
+    network = train_network(learned, vocabulary, int(vocabulary.counts.sum()), rounds, every)
+    shared = docs.sparkSession.sparkContext.broadcast((network, vocabulary.units))
+    n, total, mean = results.values()
+    given = [*docs.columns, names["row"], names["n"], names["share"]]
+    at = len(given)
 
     def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = None if shared.value[1].whole else []
-        words, sums = score_texts(batch.column(at), *shared.value, found)
-        out = [*batch.columns, pa.array(words), pa.array(sums)]
-        if found is not None:
-            doc, h, times = map(np.concatenate, zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 3
-            values = pa.StructArray.from_arrays([pa.array(h.view(np.int64)), pa.array(times)], ["word", "times"])
-            out.append(pa.ListArray.from_arrays(np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32), values))
-        yield pa.RecordBatch.from_arrays(out, [*given, n, total, *added])
-
-    null = F.lit(None)
-    wanted = [null.cast("long").alias(n), null.cast("double").alias(total)]
-    wanted += [null.cast("array<struct<word:bigint,times:bigint>>").alias(name) for name in added]
-    scored = map_batches(numbered, score, numbered.select("*", *wanted).schema)
+        sums = score_units(batch.column(at), *shared.value)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(sums)], [*given, total])
+
+    wanted = encoded.select(*given, names["units"])
+    scored = map_batches(wanted, score, encoded.select(*given, F.lit(None).cast("double").alias(total)).schema)
+    scored = scored.withColumn(total, F.col(total) + F.col(names["share"])).withColumnRenamed(names["n"], n)
     if not vocabulary.whole:
-        scored = _with_other_words(stored(scored, "scored"), counts, row, others, total, training is not None)
-    return scored.select(*columns, n, total, F.when(F.col(n) > 0, F.col(total) / F.col(n)).alias(mean))
+        words = encoded.select(F.col(names["row"]).alias("row"), F.inline(names["others"]))
+        scored = _with_other_words(scored, words, counts, names["row"], total, training is not None)
+    return scored.select(*docs.columns, n, total, F.when(F.col(n) > 0, F.col(total) / F.col(n)).alias(mean))
 
 
-def _with_other_words(scored: DataFrame, counts: DataFrame, row: str, others: str, total: str, foreign: bool) -> DataFrame:
+def _with_other_words(scored: DataFrame, words: DataFrame, counts: DataFrame, row: str, total: str, foreign: bool) -> DataFrame:
     """``total`` with times * log(corpus count) of the words that are not kept; a word seen once adds nothing.
 
     Such a word has at most one ``KEPT_WORDS``-th of the corpus; only one of ``foreign`` texts can be hot.
     """
-    words = scored.select(F.col(row).alias("row"), F.inline(others))
     seen = counts.filter("n > 1")
     if foreign:
         joined = heavy_key_join(words, seen, ["word"], words.groupBy("word").agg(F.count("*").alias("n")))

@@ -161,3 +161,44 @@ def test_every_position_trains_once():
     rounds = [M.chosen_positions(h, M.EVERY, number) for number in range(M.ROUNDS)]
     assert sorted(np.concatenate(rounds).tolist()) == list(range(1000))
     assert len(M.chosen_positions(h, 1, 3)) == 1000
+
+
+def test_scores_do_not_depend_on_the_partitions(spark, monkeypatch):
+    rng = random.Random(11)
+    monkeypatch.setattr(M, "SHARD_WORDS", 9000)
+    rows = [(i % 90, " ".join(sentences(rng, rng.randrange(300))), "x") for i in range(300)] + [(5, "w1 w2 w9", "x")] * 3
+    table = spark.createDataFrame(rows, "doc_id long, text string, units string")
+
+    def scores(partitions):
+        found = M.score_documents(table.repartition(partitions)).collect()
+        return sorted((r.doc_id, r.text, r.log_probability) for r in found)
+
+    one = scores(1)
+    for partitions in (4, 16):
+        for a, b in zip(one, scores(partitions), strict=True):
+            assert a[:2] == b[:2] and abs(a[2] - b[2]) <= 1e-6 * (1 + abs(a[2]))
+
+
+def test_scores_against_a_plain_softmax(spark, docs):
+    """Word by word: class, unit in the class, share in the unit."""
+    vocabulary = M.build_vocabulary(M.count_words(docs))
+    rng = np.random.default_rng(4)
+    network = M.Network.start(vocabulary.counts)
+    network = network.with_values(network.flat() + rng.normal(0, 0.2, len(network.flat())))
+    texts = [r.text for r in docs.limit(3).collect()] + ["w3", "", "w3 unseen w7"]
+    _, found = M.score_texts(pa.array(texts), network, vocabulary)
+
+    def softmax(x):
+        e = np.exp(x - x.max())
+        return e / e.sum()
+
+    for text, got in zip(texts, found, strict=True):
+        data = np.frombuffer(text.encode(), np.uint8)
+        unit, share = vocabulary.lookup(M.hashed_words(data, np.array([0, len(data)])).hash)
+        total = share.sum()
+        for i, u in enumerate(unit):
+            around = [unit[i + k] if 0 <= i + k < len(unit) else vocabulary.units for k in M.SIDES]
+            hidden = np.tanh(sum(network.embedding[a] @ w for a, w in zip(around, network.hidden, strict=True)) + network.hidden_bias)
+            total += np.log(softmax(hidden @ network.classes + network.class_bias)[u // M.CLASS])
+            total += np.log(softmax(hidden @ network.output[u // M.CLASS] + network.output_bias[u // M.CLASS])[u % M.CLASS])
+        assert np.isclose(got, total, rtol=1e-5)

@@ -6,6 +6,9 @@ equals one of the item's, and so does each run of 0.8 of an item. A 64-bit finge
 within 4 r + 3 bits some block differs in at most r, so tables of all blocks within r bits of an item's
 find every pair in the radius. The weighted (multiset) Jaccard similarity of word shingles then decides, over
 passages of any length around the windows: one that reaches 0.8 has 0.8 to 1.25 of the item's length.
+
+Such a passage holds at least 0.8 of an item's shingles. Windows are therefore laid only over stretches with that
+many shingles of the benchmark, which a hash table of all of them tells; nothing is lost by it.
 """
 
 from __future__ import annotations
@@ -80,6 +83,16 @@ class Benchmark:
     hashes: list[np.ndarray]  # the shingles of each item
     sizes: list[_Size]
     k: int
+    slots: np.ndarray  # hash table: whether a shingle of any item may have these low bits
+    shingles: np.ndarray  # the shingles of all items, sorted
+    least: int  # shingles of the benchmark that the shortest passage holds
+    reach: int  # how far a passage goes beyond one of them
+
+    def holds(self, h: np.ndarray) -> np.ndarray:
+        """Indices of the shingles that are in any item."""
+        at = np.flatnonzero(self.slots[h & np.uint64(len(self.slots) - 1)])
+        place = np.minimum(np.searchsorted(self.shingles, h[at]), len(self.shingles) - 1)
+        return at[self.shingles[place] == h[at]]
 
 
 def build_benchmark(
@@ -109,7 +122,13 @@ def build_benchmark(
         for table, block in zip(tables, prints.view(np.uint16).reshape(-1, 4).T, strict=True):
             table[(block[:, None] ^ flips).ravel()] = True
         sizes.append(_Size(size, prints, item, offset, tables))
-    return Benchmark(ids, items, sizes, k)
+    lengths = [len(h) for h in items if len(h)]
+    shingles = np.unique(np.concatenate(items)) if lengths else np.zeros(0, np.uint64)
+    slots = np.zeros(1 << max(10, min(26, (16 * len(shingles)).bit_length())), dtype=bool)
+    slots[shingles & np.uint64(len(slots) - 1)] = True
+    least = int(np.ceil(similarity * min(lengths, default=0) - 1e-9))
+    reach = int(max(lengths, default=0) / similarity) + 1
+    return Benchmark(ids, items, sizes, k, slots, shingles, max(1, least), reach)
 
 
 def weighted_similarity(a: Counter, b: Counter) -> float:
@@ -118,12 +137,28 @@ def weighted_similarity(a: Counter, b: Counter) -> float:
     return both / (sum(a.values()) + sum(b.values()) - both)
 
 
+def _stretches(h: np.ndarray, doc: np.ndarray, bench: Benchmark) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of the shingles within reach of enough shingles of the benchmark, and the stretch each lies in."""
+    at = bench.holds(h)
+    first = np.maximum(at - bench.reach, np.searchsorted(doc, doc[at]))
+    last = np.minimum(at + bench.reach + 1, np.searchsorted(doc, doc[at], "right"))
+    new = np.append(True, first[1:] >= last[:-1])[: len(at)]
+    number = np.cumsum(new) - 1
+    enough = np.bincount(number) >= bench.least if len(at) else np.zeros(0, bool)
+    begin, end = first[new][enough], last[np.append(new[1:], True)[: len(at)]][enough]
+    length = end - begin
+    index = np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(length.sum())
+    return index, np.repeat(np.arange(len(length)), length)
+
+
 def _candidates(h: np.ndarray, doc: np.ndarray, bench: Benchmark, radius: int) -> set[tuple[int, int, int]]:
     """(text, item, index of the shingle the item would begin at) of windows within the radius."""
     found: set[tuple[int, int, int]] = set()
     longest = max(map(len, bench.hashes))
-    for first in range(0, len(h), _WINDOW_BLOCK):
-        part = h[first : first + _WINDOW_BLOCK + longest]
+    place, stretch = _stretches(h, doc, bench)
+    near_by = h[place]
+    for first in range(0, len(near_by), _WINDOW_BLOCK):
+        part = near_by[first : first + _WINDOW_BLOCK + longest]
         running = _running_bits(part, longest)
         for s in bench.sizes:
             if s.size > len(part):
@@ -138,9 +173,10 @@ def _candidates(h: np.ndarray, doc: np.ndarray, bench: Benchmark, radius: int) -
             for lot in range(0, len(at), 4096):
                 w, q = np.nonzero(np.bitwise_count(prints[at[lot : lot + 4096], None] ^ s.prints) <= radius)
                 begin = first + at[lot + w] * stride
-                inside = doc[begin] == doc[np.minimum(begin + s.size - 1, len(doc) - 1)]
+                inside = stretch[begin] == stretch[np.minimum(begin + s.size - 1, len(stretch) - 1)]
+                begin, q = place[begin[inside]], q[inside]
                 hits = doc[begin], s.item[q], begin - s.offset[q]
-                found.update(zip(*(x[inside].tolist() for x in hits), strict=True))
+                found.update(zip(*(x.tolist() for x in hits), strict=True))
     return found
 
 

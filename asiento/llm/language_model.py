@@ -40,6 +40,8 @@ ROUNDS, EVERY, BATCH, STEP = 2, 2, 2048, 0.1
 SHARD_WORDS = 2_000_000
 #: Words whose neighbours are looked up, and words that are scored, at a time.
 _BLOCK, _STEP = 1 << 15, 1 << 13
+#: Logits below this need no scaling.
+_LARGE = 60.0
 
 
 @dataclass
@@ -57,7 +59,9 @@ class Vocabulary:
 
     def lookup(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Unit and log share of words."""
-        at, known = self.find(h)
+        return self.lookup_found(*self.find(h))
+
+    def lookup_found(self, at: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         unit = np.where(known, self.unit[at] if len(self.words) else 0, self.units - 1)
         share = np.where(known, self.log_share[at] if len(self.words) else 0.0, self.rest[unit])
         return unit, share
@@ -145,21 +149,27 @@ class Network:
             at += part.size
         return Network(*out)
 
-    def log_probabilities(self, around: np.ndarray, unit: np.ndarray) -> np.ndarray:
-        """Log-probability of each unit given the units around it (one row per side)."""
+    def inward(self) -> np.ndarray:
+        """What each unit on each side adds to the hidden layer."""
+        return np.matmul(self.embedding, self.hidden).astype(np.float32)
+
+    def log_probabilities(self, around: np.ndarray, unit: np.ndarray, tables: np.ndarray | None = None) -> np.ndarray:
+        """Log-probability of each unit given the units around it (one row per side). ``tables`` is ``inward()``."""
         order, classes, runs = _by_class(unit)
         around, unit = around[:, order], unit[order]
-        tables = np.matmul(self.embedding, self.hidden).astype(np.float32)
-        hidden = tables[0][around[0]]
+        tables = self.inward() if tables is None else tables
+        hidden = tables[0].take(around[0], axis=0, mode="clip")
         for side in range(1, len(SIDES)):
-            hidden += tables[side][around[side]]
-        hidden += self.hidden_bias.astype(np.float32)
+            hidden += tables[side].take(around[side], axis=0, mode="clip")
+        hidden_bias, class_weights, class_bias, output, output_bias = (p.astype(np.float32, copy=False) for p in self.parts()[2:])
+        hidden += hidden_bias
         np.tanh(hidden, out=hidden)
-        logits = hidden @ self.classes.astype(np.float32)
-        logits += self.class_bias.astype(np.float32)
-        output, within = self.output.astype(np.float32), self.output_bias.astype(np.float32)[classes]
+        logits = hidden @ class_weights
+        logits += class_bias
+        within = np.empty((len(unit), CLASS), np.float32)
         for c, first, last in runs:
-            within[first:last] += hidden[first:last] @ output[c]
+            np.dot(hidden[first:last], output[c], out=within[first:last])
+            within[first:last] += output_bias[c]
         out = np.empty(len(unit))
         out[order] = _chosen(logits, classes) + _chosen(within, unit % CLASS)
         return out
@@ -169,32 +179,41 @@ class Network:
         for k, (weights, slope) in enumerate(zip(self.parts(), self._slopes(around, unit), strict=True)):
             if past is not None:
                 past[k] += slope**2
-                slope /= np.sqrt(past[k]) + 1e-9
-            weights -= step * slope
+                scale = np.sqrt(past[k])
+                scale += 1e-9
+                slope /= scale
+            slope *= step
+            weights -= slope
 
     def _slopes(self, around: np.ndarray, unit: np.ndarray) -> list[np.ndarray]:
         """Mean gradient of the cross entropy, by part."""
         n, kind = len(unit), self.embedding.dtype.type
         order, classes, runs = _by_class(unit)
         around, unit = around.T[order], unit[order]
-        flat = self.embedding[around].reshape(n, -1)
+        flat = self.embedding.take(around, axis=0, mode="clip").reshape(n, -1)
         hidden = np.tanh(flat @ self.hidden.reshape(-1, HIDDEN) + self.hidden_bias)
-        p = _errors(hidden @ self.classes + self.class_bias, classes) / kind(n)
+        p = hidden @ self.classes
+        p += self.class_bias
+        p = _errors(p, classes)
+        p *= kind(1 / n)
         back = p @ self.classes.T
-        q = self.output_bias[classes]
+        q = np.empty((n, CLASS), hidden.dtype)
         for c, first, last in runs:
-            q[first:last] += hidden[first:last] @ self.output[c]
-        q = _errors(q, unit % CLASS) / kind(n)
+            np.dot(hidden[first:last], self.output[c], out=q[first:last])
+            q[first:last] += self.output_bias[c]
+        q = _errors(q, unit % CLASS)
+        q *= kind(1 / n)
         output, output_bias = np.zeros_like(self.output), np.zeros_like(self.output_bias)
+        inner_back, ones = np.empty_like(back), np.ones(n, back.dtype)
         for c, first, last in runs:
             own = q[first:last]
             np.dot(hidden[first:last].T, own, out=output[c])
-            back[first:last] += own @ self.output[c].T
-        if runs:
-            output_bias[[c for c, _, _ in runs]] = np.add.reduceat(q, [first for _, first, _ in runs], axis=0)
+            np.dot(own, self.output[c].T, out=inner_back[first:last])
+            np.dot(ones[first:last], own, out=output_bias[c])
+        back += inner_back
         back *= 1 - hidden**2
         inward = (back @ self.hidden.reshape(-1, HIDDEN).T).reshape(-1, WIDTH)
-        sides, embedding = around.ravel(), np.zeros_like(self.embedding)
+        sides, embedding = around.ravel().astype(np.intp), np.zeros_like(self.embedding)
         for k, column in enumerate(np.ascontiguousarray(inward.T)):
             embedding[:, k] = np.bincount(sides, column, len(embedding))
         inner = (flat.T @ back).reshape(self.hidden.shape)
@@ -211,20 +230,36 @@ def _by_class(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int,
     return order, classes, list(zip(classes[first].tolist(), first.tolist(), last.tolist(), strict=True))
 
 
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What exp is taken of less than each logit, by row (0 where none is large), and the sums of the exps.
+
+    ``logits`` are overwritten by the exps.
+    """
+    ones = np.ones(logits.shape[1], logits.dtype)  # a product with them is faster than a sum
+    if logits.size and logits.max() < _LARGE:
+        kept = logits.copy()
+        np.exp(logits, out=logits)
+        sums = logits @ ones
+        if sums.min() > 1e-20:
+            return np.zeros(1, logits.dtype), sums
+        logits[:] = kept
+    top = logits.max(axis=1)
+    logits -= top[:, None]
+    np.exp(logits, out=logits)
+    return top, logits @ ones
+
+
 def _chosen(logits: np.ndarray, which: np.ndarray) -> np.ndarray:
     """Log of the softmax at one place of each row; ``logits`` are overwritten."""
     chosen = logits[np.arange(len(which)), which].astype(np.float64)
-    top = logits.max(axis=1, keepdims=True)
-    logits -= top
-    np.exp(logits, out=logits)
-    return chosen - top[:, 0] - np.log(logits.sum(axis=1, dtype=np.float64))
+    top, sums = _exponentials(logits)
+    return chosen - top - np.log(sums.astype(np.float64))
 
 
 def _errors(logits: np.ndarray, which: np.ndarray) -> np.ndarray:
     """Softmax less one at the right place of each row; ``logits`` are overwritten."""
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    _, sums = _exponentials(logits)
+    logits /= sums[:, None]
     logits[np.arange(len(which)), which] -= 1
     return logits
 
@@ -257,9 +292,10 @@ def encode_texts(
     n, total, units = np.zeros(len(texts), np.int64), np.zeros(len(texts)), [b""]
     for first, last, data, offsets in text_blocks(texts):
         found = hashed_words(data, offsets)
-        unit, share = vocabulary.lookup(found.hash)
+        at, known = vocabulary.find(found.hash)
+        unit, share = vocabulary.lookup_found(at, known)
         if others is not None:
-            other = np.flatnonzero(~vocabulary.find(found.hash)[1])
+            other = np.flatnonzero(~known)
             share[other] = -np.log(vocabulary.counts[unit[other]] + 1)
             order = other[np.lexsort((found.hash[other], found.doc[other]))]
             h, doc = found.hash[order], found.doc[order]
@@ -289,12 +325,12 @@ def _unit_blocks(units: Iterator[bytes]) -> Iterator[tuple[np.ndarray, np.ndarra
 def score_units(packed: pa.Array, network: Network, beyond: int) -> np.ndarray:
     """Summed log-probability of the units of each text."""
     lengths = np.array([len(p.as_buffer()) // 2 for p in packed], np.int64)
-    values = [np.zeros(0)]
+    values, tables = [np.zeros(0)], network.inward()
     for unit, doc in _unit_blocks(p.as_buffer() for p in packed):
         around = _around(unit, doc, beyond)
         for at in range(0, len(unit), _STEP):
             part = slice(at, at + _STEP)
-            values.append(network.log_probabilities(around[:, part], unit[part]))
+            values.append(network.log_probabilities(around[:, part], unit[part], tables))
     sums = np.bincount(np.repeat(np.arange(len(lengths)), lengths), np.concatenate(values), len(lengths))
     return sums.astype(np.float64)  # without any unit they are whole numbers
 
@@ -402,6 +438,7 @@ def score_documents(
         learned = _encoded(training, vocabulary, text, of)
     learned = learned.select(F.col(of["shard"]).alias("shard"), F.col(of["place"]).alias("place"), F.col(of["units"]).alias("units"))
     network = train_network(learned, vocabulary, int(vocabulary.counts.sum()), rounds, every)
+    network = network.with_values(network.flat().astype(np.float32))
     shared = docs.sparkSession.sparkContext.broadcast((network, vocabulary.units))
     n, total, mean = results.values()
     given = [*docs.columns, names["row"], names["n"], names["share"]]

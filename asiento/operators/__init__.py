@@ -7,6 +7,7 @@ from asiento.operators.clean import (
     judge_statements,
     parse_lines,
     parse_statements,
+    rejected_lines,
     rejected_statements,
     statement_values,
 )
@@ -21,6 +22,6 @@ __all__ = [
     "CleanTables", "EXCLUDED_PHRASES", "accepted_statements", "clean_statements", "dimension_join",
     "drop_separate_duplicates", "exclude_phrase_table", "exclude_phrases", "filter_by_date", "find_phrases", "flag_separate_duplicates",
     "heavy_key_join", "heavy_keys", "judge_statements", "keep_last", "map_labels", "parse_lines",
-    "parse_statements", "read_taxonomy", "rejected_statements", "spread_join", "statement_values",
+    "parse_statements", "read_taxonomy", "rejected_lines", "rejected_statements", "spread_join", "statement_values",
     "taxonomy_table", "unmapped_labels",
 ]

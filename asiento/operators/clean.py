@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from asiento import functions as A
@@ -39,6 +39,9 @@ STATEMENT_COLUMNS = [
     "number_of_employees",
 ]
 
+#: Unreadable lines of a filing that are reported one by one: the first ones.
+REPORTED_LINES = 10
+
 VALUE_COLUMNS = ["company_id", "document_id", "order", "concept", "value"]
 
 
@@ -146,6 +149,24 @@ def line_counts(concepts_raw: DataFrame) -> DataFrame:
     )
 
 
+def rejected_lines(concepts_raw: DataFrame, most: int = REPORTED_LINES) -> DataFrame:
+    """The first unreadable lines of each filing, with what could not be read and the number of all of them.
+
+    ``line`` numbers a filing's unreadable lines from 1 to ``most``, ``bad_lines`` is how many there are in all.
+    Every task passes on at most ``most`` lines of a filing, and counts before it shuffles.
+    """
+
+    def unreadable(name: str, typed: Column) -> Column:
+        return F.when(typed.isNull(), F.concat(F.lit(f"{name}: "), F.coalesce(name, F.lit("missing"))))
+
+    errors = F.array_compact(F.array(unreadable("value", A.es_number("value")), unreadable("id", A.es_int("id"))))
+    bad = concepts_raw.select(*FILING_KEY, "page_no", "row_no", "label", errors.alias("errors")).filter(F.size("errors") > 0)
+    totals = bad.groupBy(*FILING_KEY).agg(F.count("*").alias("bad_lines"))
+    in_order = Window.partitionBy(*FILING_KEY).orderBy("page_no", "row_no", "label", "errors")
+    first = bad.withColumn("line", F.row_number().over(in_order)).filter(F.col("line") <= most)
+    return first.join(totals, FILING_KEY, "left")
+
+
 def judge_statements(statements_raw: DataFrame, counts: DataFrame) -> DataFrame:
     """Parsed statements with all their errors, those of their lines (``line_counts``) included."""
 

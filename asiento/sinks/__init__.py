@@ -7,10 +7,12 @@ from asiento.sinks.bundle import (
     export_tables,
     statement_metadata,
     statement_values_export,
+    write_apart,
     write_bundle,
+    write_bundle_apart,
 )
 
 __all__ = [
     "company_metadata", "display", "export_company", "export_tables", "statement_metadata", "statement_values_export",
-    "write_bundle",
+    "write_apart", "write_bundle", "write_bundle_apart",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -43,6 +44,9 @@ STATEMENT_EXPORT = {
 
 #: Rows per written file; a ticker with more gets several files.
 FILE_ROWS = 5_000_000
+#: Keys that a write may fail for; with more the trouble is not with the keys.
+MOST_FAILURES = 100
+_HASHES = 1 << 30
 
 
 class ExportTables(NamedTuple):
@@ -119,6 +123,78 @@ def write_bundle(tables: ExportTables, path: str, fmt: str = "parquet") -> None:
         raise problem
 
 
+class FailedKey(NamedTuple):
+    """A key whose rows could not be written, and why."""
+
+    key: str | None
+    reason: str
+
+
+def write_apart(
+    write: Callable[[Callable[[DataFrame], DataFrame]], None], keys: DataFrame, by: str, most: int = MOST_FAILURES
+) -> list[FailedKey]:
+    """Write all that can be written; the keys that cannot be, with the reasons.
+
+    ``write`` is given a function that restricts a table to the rows of some keys, by its column ``by``, and
+    writes the tables so restricted; ``keys`` has the keys in a column of that name. All keys are written
+    together. Where that fails they are halved by their hashes, until a bad one stands alone: a bad key
+    among n costs about 2 log2(n) more writes. Beyond ``most`` failures, and if no key can be written, the last
+    problem is raised.
+    """
+    failed: list[FailedKey] = []
+    problems: list[Exception] = []
+
+    def attempt(low: int, high: int, one: FailedKey | None = None) -> None:
+        def part(table: DataFrame) -> DataFrame:
+            if one:
+                return table.filter(F.col(by).eqNullSafe(F.lit(one.key)))
+            number = F.pmod(F.xxhash64(by), F.lit(_HASHES))
+            return table if (low, high) == (0, _HASHES) else table.filter((number >= low) & (number < high))
+
+        try:
+            write(part)
+            return
+        except Exception as problem:  # whatever it is, it must not keep the other keys from being written
+            inside = [FailedKey(row[0], reason_of(problem)) for row in part(keys).select(by).distinct().limit(2).collect()]
+            if not inside or len(failed) >= most:
+                raise
+            if len(inside) == 1:
+                failed.append(inside[0])
+                problems[:] = [problem]
+                return
+        if high - low > 1:
+            attempt(low, (low + high) // 2)
+            attempt((low + high) // 2, high)
+        else:  # different keys of one hash
+            for row in part(keys).select(by).distinct().limit(most + 1).collect():
+                attempt(low, high, FailedKey(row[0], ""))
+
+    attempt(0, _HASHES)
+    if failed and keys.select(by).distinct().limit(len(failed) + 1).count() == len(failed):
+        raise problems[0]
+    return failed
+
+
+def reason_of(problem: Exception) -> str:
+    """The first line of what caused a failure."""
+    reason, cause = str(problem), getattr(problem, "_origin", None)
+    while cause is not None:
+        reason, cause = cause.getMessage() or reason, cause.getCause()
+    return (reason.strip().splitlines() or [type(problem).__name__])[0][:500]
+
+
+def write_bundle_apart(
+    tables: ExportTables, path: str, fmt: str = "parquet", write: Callable[[ExportTables, str, str], None] = write_bundle
+) -> DataFrame:
+    """``write`` the tables of all tickers that can be written; ``ticker, reason`` of the others.
+
+    A ticker that fails may have those of its tables that could be written.
+    """
+    keys = tables.company_metadata.select("ticker")
+    failed = write_apart(lambda part: write(ExportTables(*map(part, tables)), path, fmt), keys, "ticker")
+    return keys.sparkSession.createDataFrame(failed, "ticker string, reason string")
+
+
 def write_partitions(
     table: DataFrame, path: str, by: str, replaced: DataFrame, order: list[str] | None = None, fmt: str = "parquet"
 ) -> None:

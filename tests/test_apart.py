@@ -1,0 +1,79 @@
+"""Companies that cannot be written, and lines that cannot be read."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import asiento as A
+from asiento.plans.batch import failed_exports
+from asiento.schemas import CONCEPTS_RAW
+from asiento.sinks.bundle import write_apart, write_partitions
+
+
+def spoiled(spark, n, bad):
+    rows = spark.range(n).select(F.format_string("T%04d", "id").alias("ticker"), F.col("id").alias("value"))
+    return rows.withColumn("value", F.when(F.col("ticker").isin(bad), F.raise_error(F.lit("no such\nvalue")).cast("long")).otherwise(F.col("value")))
+
+
+def test_one_bad_key_among_many(spark):
+    written = []
+
+    def write(part):
+        table = part(spoiled(spark, 3000, ["T0770"]))
+        written.extend(r.ticker for r in table.filter(table.value >= 0).select("ticker").collect())
+
+    failed = write_apart(write, spark.range(3000).select(F.format_string("T%04d", "id").alias("ticker")), "ticker")
+    assert [(f.key, f.reason) for f in failed] == [("T0770", "[USER_RAISED_EXCEPTION] no such")]
+    assert sorted(written) == [f"T{i:04d}" for i in range(3000) if i != 770]
+
+
+def test_written_folders_hold_all_but_the_bad_ones(spark, tmp_path):
+    table = spoiled(spark, 40, ["T0003", "T0031"])
+    keys = spark.range(40).select(F.format_string("T%04d", "id").alias("ticker"))
+    path = str(tmp_path / "out")
+    failed = write_apart(lambda part: write_partitions(part(table), path, "ticker", part(keys)), keys, "ticker")
+    assert sorted(f.key for f in failed) == ["T0003", "T0031"]
+    assert sorted(r.value for r in spark.read.parquet(path).collect()) == [i for i in range(40) if i not in (3, 31)]
+
+
+def test_a_null_key_and_a_failure_of_everything(spark):
+    keys = spark.createDataFrame([(None,), ("a",)], "ticker string")
+
+    def write(part):
+        if part(keys).filter("ticker is null").count():
+            raise ValueError("null folder")
+
+    assert write_apart(write, keys, "ticker") == [(None, "null folder")]
+
+    def never(part):
+        raise OSError("disk full")
+
+    with pytest.raises(OSError):
+        write_apart(never, spark.range(40).select(F.col("id").cast("string").alias("ticker")), "ticker", most=5)
+    with pytest.raises(OSError):
+        write_apart(never, keys.limit(0), "ticker")
+
+
+def test_rejects_of_failed_exports(spark):
+    companies = spark.createDataFrame([("1", "A"), ("2", None), ("3", "C"), ("4", "A")], "company_id string, ticker string")
+    unwritten = spark.createDataFrame([("A", "r1"), (None, "r2")], "ticker string, reason string")
+    rows = {r.company_id: r for r in failed_exports(companies, unwritten).collect()}
+    assert sorted(rows) == ["1", "2", "4"] and rows["2"].errors == ["r2"] and rows["1"].stage == "export"
+
+
+def lines(spark, rows):
+    return spark.createDataFrame(rows, CONCEPTS_RAW)
+
+
+def test_first_bad_lines_and_their_number(spark):
+    rows = [("c", 1, i // 100, i % 100, "L", "n/d" if i % 2 else "1", None if i % 7 == 0 else "1") for i in range(1000)]
+    rows += [("c", 2, 0, 0, "L", "1", "1"), ("c", 3, 0, 5, "X", None, "2"), ("d", 1, 1, 1, "Y", "1", "7,5")]
+    found = sorted(A.rejected_lines(lines(spark, rows).repartition(5), 4).collect(), key=lambda r: (r.company_id, r.filing_pos, r.line))
+    bad = [(i, ["value: n/d"] * (i % 2) + ["id: missing"] * (i % 7 == 0)) for i in range(1000) if i % 2 or i % 7 == 0]
+    assert [(r.page_no * 100 + r.row_no, r.errors) for r in found[:4]] == bad[:4]
+    assert {r.bad_lines for r in found[:4]} == {len(bad)} and [r.line for r in found] == [1, 2, 3, 4, 1, 1]
+    assert [r.errors for r in found[4:]] == [["value: missing"], ["id: 7,5"]]
+    assert A.rejected_lines(lines(spark, [])).collect() == []
+
+
+def test_bad_lines_are_cut_before_the_shuffle(spark, plan):
+    assert "WindowGroupLimit" in plan(A.rejected_lines(lines(spark, [("c", 1, 0, 0, "L", "x", "1")])))

@@ -315,6 +315,21 @@ FROM r WHERE company_id IS NULL OR name IS NULL""",
     "clean_values": f"{_CLEAN} SELECT * FROM vals",
     "rejected_statements": f"""
 {_CLEAN} SELECT company_id, document_id, filing_pos, 'clean' AS stage, errors FROM judged WHERE errors <> ''""",
+    "rejected_lines": f"""
+WITH {_F}, {_L}
+SELECT * FROM (
+  SELECT company_id, filing_pos, (pos // 1099511627776)::INT AS page_no, (pos % 1099511627776)::INT AS row_no, label,
+         concat_ws('; ', CASE WHEN amount IS NULL THEN 'value: n/d' END, CASE WHEN line_order IS NULL THEN 'id: 7,5' END) AS errors,
+         (row_number() OVER (PARTITION BY company_id, filing_pos ORDER BY pos))::INT AS line,
+         count(*) OVER (PARTITION BY company_id, filing_pos) AS bad_lines
+  FROM l JOIN f USING (orderkey) WHERE amount IS NULL OR line_order IS NULL
+) WHERE line <= 10""",
+    "export_failures": """
+SELECT CAST(s_nationkey AS VARCHAR) AS nation,
+       count(l_orderkey) FILTER (s_nationkey NOT IN (7, 18)) AS n_lines,
+       coalesce(sum(l_orderkey) FILTER (s_nationkey NOT IN (7, 18)), 0)::BIGINT AS orders,
+       (s_nationkey IN (7, 18))::INT AS failed
+FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey GROUP BY s_nationkey""",
     "company_metadata_kv": f"""
 {_CLEAN},{_REGISTRY}
 SELECT company_id, coalesce(ticker, '') AS ticker, field_pos, field, value FROM (

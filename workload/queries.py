@@ -262,6 +262,11 @@ def rejected_statements(spark, sf_dir):
     return rejects.withColumn("errors", F.concat_ws("; ", "errors"))
 
 
+def rejected_lines(spark, sf_dir):
+    found = A.rejected_lines(shapes.concepts(spark, sf_dir))
+    return found.withColumn("errors", F.concat_ws("; ", "errors"))
+
+
 def company_metadata_kv(spark, sf_dir):
     companies, _ = A.load_registry(shapes.registry(spark, sf_dir), "sheet_row")
     return as_text(A.company_metadata(companies, _clean(spark, sf_dir).statements))
@@ -393,6 +398,22 @@ def bundle_round_trip(spark, sf_dir):
     return spark.read.parquet(target).select("ticker", "company_id", "document_id", "concept", "value")
 
 
+def export_failures(spark, sf_dir):
+    """Line items written by supplier nation, of which two cannot be written: rows read back, and who failed."""
+    nation = shapes.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").cast("string").alias("nation"))
+    lines = shapes.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
+    lines = lines.join(F.broadcast(nation), "l_suppkey")
+    spoiled = F.when(F.col("nation").isin("7", "18"), F.raise_error(F.concat(F.lit("no room for "), "nation")).cast("double"))
+    lines = lines.withColumn("price", spoiled.otherwise(F.col("l_extendedprice"))).drop("l_extendedprice")
+    target = _written(spark, "apart")
+    failed = A.write_apart(lambda part: write_partitions(part(lines), target, "nation", part(nation)), nation, "nation")
+    reasons = spark.createDataFrame([(f.key, "no room for" in f.reason) for f in failed], "nation string, failed boolean")
+    read = spark.read.parquet(target).withColumn("nation", F.col("nation").cast("string"))
+    totals = read.groupBy("nation").agg(F.count("*").alias("n_lines"), F.sum("l_orderkey").alias("orders"))
+    both = nation.select("nation").distinct().join(totals, "nation", "left").join(reasons, "nation", "left")
+    return both.select("nation", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("orders", F.lit(0)).alias("orders"), F.coalesce(F.col("failed"), F.lit(False)).cast("int").alias("failed"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -422,6 +443,7 @@ QUERIES: dict[str, Query] = {
         clean_statements,
         clean_values,
         rejected_statements,
+        rejected_lines,
         company_metadata_kv,
         statement_metadata_export,
         statement_values_export,
@@ -436,5 +458,6 @@ QUERIES: dict[str, Query] = {
         failed_captures,
         registry_csv,
         bundle_round_trip,
+        export_failures,
     )
 }

@@ -6,7 +6,7 @@ of two vectors is then estimated, without bias, from the signs of one and the ro
 factor bounds the error. Only pairs whose bound reaches the threshold are computed again, exactly.
 
 Vectors are dealt to cells around pivots. Each is a member of its nearest cell and visits those cells in
-which a vector as near as the threshold is likely to be; a cell is a grid of blocks, so a hot one is spread.
+which a vector as near as the threshold may be (in data of many dimensions: is likely to be); a cell is a grid of blocks, so a hot one is spread.
 """
 
 from __future__ import annotations
@@ -24,8 +24,11 @@ from asiento.operators.joins import heavy_key_join
 THRESHOLD = 0.9
 #: Vectors per pivot aimed at, and the most pivots: a bounded sample, sent to all tasks.
 PER_PIVOT, MOST_PIVOTS = 500, 2048
-#: Standard deviations of a link's spread between two cells that the visits of both its vectors cover.
+#: Standard deviations of a link's spread between two cells that the visits of both its vectors cover. In data of
+#: up to REACH^2 effective dimensions that is more than the largest spread there is, and no link is lost.
 REACH = 3.0
+#: Vectors, and bytes of them, that the effective dimension is measured on.
+SPREAD_SAMPLE, SPREAD_BYTES = 4096, 16 << 20
 #: Standard deviations of the estimate's error that a pair may be off and still be computed exactly.
 CONFIDENCE = 5.0
 #: Vectors of one side of a block.
@@ -92,6 +95,22 @@ def _local_components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
+def effective_dimension(units: np.ndarray) -> float:
+    """Participation ratio of the spectrum: the number of directions that unit vectors spread over."""
+    squares = np.linalg.svd(units - units.mean(axis=0), compute_uv=False) ** 2
+    return float(squares.sum() ** 2 / (squares**2).sum()) if squares.any() else 1.0
+
+
+def visit_share(dimension: float, reach: float, threshold: float) -> float:
+    """How far beyond its own pivot p a vector visits the cell of q, as a share of |p - q|.
+
+    For linked x and y at home with p and q, (x.p - x.q) + (y.q - y.p) = (x - y).(p - q): two terms >= 0, the
+    smaller one at most half of |x - y| |p - q| <= sqrt(2 (1 - threshold)) |p - q|. That is sure; over many
+    dimensions the cosine of x - y and p - q has a deviation of 1 / sqrt(dimension) only.
+    """
+    return min(1.0, reach / np.sqrt(dimension)) * np.sqrt((1 - threshold) / 2)
+
+
 def near_vectors(
     vectors: DataFrame,
     id_column: str = "vec_id",
@@ -161,21 +180,21 @@ def _links(
     """``node, n, least``: links of distinct vectors of one length, by cell and block; ``n`` weighs copies."""
     total = classes.count()
     wanted = int(min(most_pivots, max(1, total // per_pivot)))
-    share = F.pmod(F.xxhash64("key", F.lit("pivot")), F.lit(1 << 30)) < int((1 << 30) * min(1.0, 1.5 * wanted / total))
-    sample = classes.filter(share).select("v").limit(wanted).toPandas()  # at most `most_pivots` vectors
+    looked = max(wanted, min(SPREAD_SAMPLE, SPREAD_BYTES // (8 * dim)))
+    share = F.pmod(F.xxhash64("key", F.lit("pivot")), F.lit(1 << 30)) < int((1 << 30) * min(1.0, 1.5 * looked / total))
+    sample = classes.filter(share).select("v").limit(looked).toPandas()  # a bounded number of vectors
     if not len(sample):
         sample = classes.select("v").limit(1).toPandas()
-    pivots = unit(np.stack(sample["v"].map(np.asarray)))
-    # For linked x and y at home with p and q, (x.p - x.q) + (y.q - y.p) = (x - y).(p - q): two terms >= 0
-    # whose sum has a deviation of about |x - y| sqrt(2 / dim). The smaller one is at most half of the sum.
-    margin = reach * np.sqrt(2 * (1 - threshold)) * np.sqrt(2 / dim) / 2
+    sampled = unit(np.stack(sample["v"].map(np.asarray)))
+    pivots, further = sampled[:wanted], visit_share(effective_dimension(sampled), reach, threshold)
 
     def assign(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for first in range(0, batch.num_rows, 512):
             part = batch.slice(first, 512)
             nearness = unit(_matrix(part.column("v"))) @ pivots.T
             home = nearness.argmax(axis=1)
-            i, cell = np.nonzero(nearness >= nearness.max(axis=1, keepdims=True) - margin)
+            gaps = np.sqrt(np.maximum(0, 2 - 2 * pivots[home] @ pivots.T))
+            i, cell = np.nonzero(nearness >= nearness.max(axis=1, keepdims=True) - further * gaps - 1e-9)
             cells = [c.tolist() for c in np.split(cell, np.searchsorted(i, np.arange(1, part.num_rows)))]
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array(home, pa.int32()), pa.array(cells, pa.list_(pa.int32()))],

@@ -167,6 +167,20 @@ ORACLE = {
             CASE WHEN lines IS NULL OR text IS NULL THEN text ELSE coalesce(array_to_string(kept, chr(10)), '') END AS text,
             CASE WHEN lines IS NULL OR text IS NULL THEN 0 ELSE len(parts) - len(kept) END::INT AS dropped_lines
         FROM cut""",
+    "op1_embedding_near_dedup": """
+        WITH RECURSIVE usable AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+            AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+        ), reached AS (
+            SELECT vec_id AS node, vec_id AS other FROM embeddings
+            UNION SELECT node, b FROM reached JOIN links ON other = a
+        ), counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM (SELECT node AS vec_id, min(other) AS component_id FROM reached GROUP BY node) LEFT JOIN counts USING (vec_id)""",
     "op12_ranked_search": f"""
         WITH tf AS (
             SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {_TERMS} AS term FROM documents) GROUP BY doc_id, term

@@ -83,3 +83,28 @@ def test_estimate_is_unbiased_and_within_its_bound():
         assert (np.abs(estimate - exact) <= np.sqrt(1 - factor**2) / factor * np.sqrt(1 - exact**2) + 1e-9).all()
         errors.append((estimate - exact).mean())
     assert abs(np.mean(errors)) < 2e-3
+
+
+@pytest.mark.parametrize(("rank", "noise"), [(3, 0.0), (6, 0.0), (8, 0.02), (12, 0.0)])
+def test_no_link_is_lost_in_data_of_few_directions(spark, rank, noise):
+    rng = np.random.default_rng(rank)
+    v = rng.standard_normal((4000, rank)) @ rng.standard_normal((rank, 64)) + noise * rng.standard_normal((4000, 64))
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    near = u @ u.T >= 0.9
+    label = np.arange(len(v))
+    while True:
+        new = np.array([label[row].min() for row in near])
+        if (new == label).all():
+            break
+        label = new
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(v)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in E.near_vectors(df).collect()}
+    assert got == {i: (int(near[i].sum()) - 1, int(label[i])) for i in range(len(v))}
+
+
+def test_visits_are_sure_in_few_dimensions():
+    rng = np.random.default_rng(1)
+    assert E.effective_dimension(E.unit(rng.standard_normal((3000, 5)))) < 5.1
+    assert 55 < E.effective_dimension(E.unit(rng.standard_normal((4096, 64)))) < 65
+    assert E.effective_dimension(np.ones((4, 3))) == 1.0
+    assert np.isclose(E.visit_share(9.0, 3.0, 0.9), np.sqrt(0.05)) and E.visit_share(64.0, 3.0, 0.9) < 0.1

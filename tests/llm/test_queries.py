@@ -32,7 +32,7 @@ def test_one_row_per_document(spark, documents, name):
 @pytest.mark.parametrize("name", list(queries.ORACLE))
 def test_sql(spark, name):
     db = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     columns = ", ".join(df.columns)

@@ -297,6 +297,11 @@ SELECT fd.company_id, fd.filing_pos, concept,
 FROM l JOIN fd USING (orderkey) GROUP BY ALL""",
     "statement_last_wins": f"""
 WITH {_F}
+SELECT company_id, number AS document_id, document_description, document_link, submission_date, filing_pos,
+       min(filing_pos) OVER (PARTITION BY company_id, number) AS statement_pos
+FROM fd QUALIFY filing_pos = max(filing_pos) OVER (PARTITION BY company_id, number)""",
+    "merged_statements": f"""
+WITH {_F}
 SELECT company_id, number AS document_id, document_description, document_link, submission_date, filing_pos,
        min(filing_pos) OVER (PARTITION BY company_id, number) AS statement_pos
 FROM fd QUALIFY filing_pos = max(filing_pos) OVER (PARTITION BY company_id, number)""",

@@ -398,6 +398,16 @@ def bundle_round_trip(spark, sf_dir):
     return spark.read.parquet(target).select("ticker", "company_id", "document_id", "concept", "value")
 
 
+def merged_statements(spark, sf_dir):
+    """Statements by document: two runs, the later half of the filings first, into one stored table."""
+    numbered = _filings(spark, sf_dir).withColumn("document_id", C.es_int("document_id"))
+    later = F.col("filing_pos") % 2 == 1
+    target = _written(spark, "merged")
+    for part in (later, ~later):
+        A.merge_last(numbered.filter(part), target, ["company_id", "document_id"], "filing_pos", "statement_pos")
+    return A.read_merged(numbered.withColumn("statement_pos", F.col("filing_pos")), target)
+
+
 def export_failures(spark, sf_dir):
     """Line items written by supplier nation, of which two cannot be written: rows read back, and who failed."""
     nation = shapes.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").cast("string").alias("nation"))
@@ -459,5 +469,6 @@ QUERIES: dict[str, Query] = {
         registry_csv,
         bundle_round_trip,
         export_failures,
+        merged_statements,
     )
 }

@@ -29,9 +29,19 @@ def listing_request(company_id: Column | str, date_from: date, date_to: date) ->
     )
 
 
-def _cell(values: str, header: str) -> Column:
+def _bound_header() -> Column:
+    return F.transform("header", lambda text: F.coalesce(blank_to_null(text), F.lit("column")))
+
+
+def _cell(values: str, header: str, headers: Column | str = "_header") -> Column:
     # A header that is absent has position 0, and there is no value at -1.
-    return F.get(values, F.array_position("_header", header).cast("int") - 1)
+    return F.get(values, F.array_position(headers, header).cast("int") - 1)
+
+
+def submission_text() -> Column:
+    """Date and time of an index row as they are written there; null if one of them is absent."""
+    headers = _bound_header()
+    return F.concat(_cell("cells", DATE_HEADER, headers), F.lit(" "), _cell("cells", TIME_HEADER, headers))
 
 
 def parse_index(
@@ -43,10 +53,9 @@ def parse_index(
     without one of the columns fails its whole company, whatever the other rows hold; rows submitted
     outside the range of days, if one is given, do not count.
     """
-    blank = F.lit("column")
     bound = (
         rows.filter("row_no > 0")
-        .withColumn("_header", F.transform("header", lambda text: F.coalesce(blank_to_null(text), blank)))
+        .withColumn("_header", _bound_header())
         .select(
             "company_id",
             position("page_no", "row_no").alias("filing_pos"),

@@ -252,6 +252,15 @@ FROM companies""",
 WITH {_F}
 SELECT {_FILING_COLUMNS} FROM fd
 WHERE company_id NOT IN (SELECT company_id FROM fd WHERE k % 101 = 0)""",
+    "stored_index_filings": f"""
+WITH {_F},{_REGISTRY},
+dated AS (
+  SELECT * FROM fd
+  WHERE (k % 37 = 0 OR CAST(moment AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-06-30')
+    AND company_id IN (SELECT company_id FROM companies)
+)
+SELECT {_FILING_COLUMNS} FROM dated
+WHERE company_id NOT IN (SELECT company_id FROM dated WHERE k % 101 = 0)""",
     "failed_listings": f"""
 WITH {_F}
 SELECT DISTINCT company_id, 'listing' AS stage, 'index: link missing' AS errors FROM fd WHERE k % 101 = 0""",

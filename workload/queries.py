@@ -167,6 +167,15 @@ def index_rows(spark, sf_dir):
     return filings
 
 
+def stored_index_filings(spark, sf_dir):
+    """Filings of the registered companies in the listing range, from an index stored by month and company."""
+    companies, _ = A.load_registry(shapes.registry(spark, sf_dir), "sheet_row")
+    target = _written(spark, "index")
+    A.write_index(shapes.index_rows(spark, sf_dir), target, buckets=4)
+    filings, _ = A.parse_index(A.read_index(spark, target, DATE_FROM, DATE_TO, companies, buckets=4), DATE_FROM, DATE_TO)
+    return filings
+
+
 def failed_listings(spark, sf_dir):
     _, failed = A.parse_index(shapes.index_rows(spark, sf_dir))
     return failed.select("company_id", "stage", F.concat_ws("; ", "errors").alias("errors"))
@@ -440,6 +449,7 @@ QUERIES: dict[str, Query] = {
         date_bounded_filings,
         listing_requests,
         index_rows,
+        stored_index_filings,
         failed_listings,
         drop_separate_set,
         drop_separate_sequential,

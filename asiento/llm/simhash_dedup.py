@@ -20,15 +20,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asiento.llm.common import components, free_name, map_batches, stored
-from asiento.operators.joins import heavy_key_join
+from asiento.llm.common import components, map_batches, stored
+from asiento.operators.joins import dimension_join, exclude_in_place, heavy_key_join
 
 #: Words of a shingle, and the largest number of differing bits of a link.
 SHINGLE_WORDS, MAX_BITS = 4, 4
 SEED = 42
 #: Bits of the three segments of a fingerprint.
 SEGMENTS = (22, 21, 21)
-#: Fingerprints of one key that are compared in one task; a key with more is cut into blocks.
+#: Fingerprints of a block of a key; a key with more is cut into blocks.
 KEY_BLOCK = 4096
 #: Runs of equal keys up to this length are compared together, row by shifted row.
 _FEW = 16
@@ -189,8 +189,8 @@ def print_links(prints: DataFrame, max_bits: int = MAX_BITS, key_block: int = KE
     """``a, b``: links that connect all distinct fingerprints (column ``print``) within ``max_bits`` bits.
 
     Not every pair is returned, but what is connected by pairs is connected by these links. Within a key
-    as many links as fingerprints leave at most. A key with more than ``key_block`` fingerprints is cut
-    into blocks, and each pair of blocks is compared by a task of its own.
+    as many links as fingerprints leave at most. Fingerprints are counted by key first; those of a key with more
+    than ``key_block`` go to pairs of blocks, each compared by a task of its own, so no task sees such a key whole.
     """
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"the keys hold for at most {MAX_BITS} differing bits")
@@ -202,13 +202,9 @@ def print_links(prints: DataFrame, max_bits: int = MAX_BITS, key_block: int = KE
             keys, owner = golay_keys(part.view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[owner])], ["key", "print"])
 
-    def of_key(rows: np.ndarray) -> Iterator[np.ndarray]:
-        if len(rows) > key_block:  # left to the tasks of its blocks: key, fingerprint, number of blocks
-            parts = -(-len(rows) // key_block)
-            yield np.column_stack([rows, np.full(len(rows), parts)])
-            return
-        for a, b in _roots(rows[:, 1].view(np.uint64), max_bits):
-            yield np.column_stack([a.view(np.int64), b.view(np.int64), np.zeros(len(a), np.int64)])
+    def of_run(rows: np.ndarray) -> Iterator[np.ndarray]:
+        for a, b in _roots(np.ascontiguousarray(rows[:, 1]).view(np.uint64), max_bits):
+            yield np.column_stack([a.view(np.int64), b.view(np.int64)])
 
     def of_few(rows: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
         rows = rows[(sizes > 1) & (sizes <= _FEW)]
@@ -218,26 +214,18 @@ def print_links(prints: DataFrame, max_bits: int = MAX_BITS, key_block: int = KE
             if not len(at):
                 break
             at = at[np.bitwise_count(values[at] ^ values[at + step]) <= max_bits]
-            yield np.column_stack([rows[at, 1], rows[at + step, 1], np.zeros(len(at), np.int64)])
-
-    def of_blocks(rows: np.ndarray) -> Iterator[np.ndarray]:
-        for a, b in _roots(np.ascontiguousarray(rows[:, 3]).view(np.uint64), max_bits):
-            yield np.column_stack([a.view(np.int64), b.view(np.int64)])
+            yield np.column_stack([rows[at, 1], rows[at + step, 1]])
 
     keys = map_batches(prints.select("print"), keyed, "key long, print long")
-    runs = keys.repartition("key").sortWithinPartitions("key")
-    found = stored(runs.mapInArrow(_grouped(["a", "b", "parts"], of_key, 1, of_few), "a long, b long, parts long"), "links")
-    links = found.filter("parts = 0").select("a", "b")
-    block = F.pmod(F.xxhash64("b"), F.col("parts"))
-    hot = found.filter("parts > 0").select("a", block.alias("block"), "parts", "b")
-    pairs = hot.select(
-        "a",
-        F.explode(F.expr("transform(sequence(0, parts - 1), p -> struct(least(p, block) as i, greatest(p, block) as j))")).alias("p"),
-        "b",
-    ).select("a", "p.i", "p.j", "b")
-    runs = pairs.repartition("a", "i", "j").sortWithinPartitions("a", "i", "j")
-    more = runs.mapInArrow(_grouped(["a", "b"], of_blocks, 3), "a long, b long")
-    return links.unionByName(more)
+    counts = keys.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > key_block)
+    heavy = stored(counts.select("key", F.ceil(F.col("n") / key_block).alias("parts")), "heavy_keys")
+    block = F.pmod(F.xxhash64("print"), F.col("parts"))
+    marked = dimension_join(keys, heavy, ["key"], ["print"], "left").withColumn("block", block)
+    pairs = F.expr("transform(sequence(0L, parts - 1), p -> xxhash64(key, least(p, block), greatest(p, block)))")
+    # Should two runs get the same number, they are compared as one: every link is still a link.
+    run = F.explode(F.when(F.col("parts").isNull(), F.array("key")).otherwise(pairs))
+    runs = marked.select(run.alias("run"), "print").repartition("run").sortWithinPartitions("run")
+    return runs.mapInArrow(_grouped(["a", "b"], of_run, 1, of_few), "a long, b long")
 
 
 def near_duplicates(
@@ -263,8 +251,9 @@ def near_duplicates(
     placed = distinct.join(roots, distinct["print"] == roots["node"], "left").select(
         "print", "rep", F.coalesce("component", "print").alias("component")
     )
-    least = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
-    classes = placed.join(least, "component").select("print", "component_id")
+    least = stored(placed.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("n")), "components")
+    named = heavy_key_join(placed, least.select("component", "component_id"), ["component"], least.select("component", "n"))
+    classes = named.select("print", "component_id")
     # One print may hold a third of all documents; such prints are joined by broadcast.
     rows = heavy_key_join(prints, classes, ["print"], distinct)
     return rows.select(
@@ -275,10 +264,17 @@ def near_duplicates(
 def keep_representatives(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with the smallest id.
 
-    Of rows that share an id one stays. Rows with a null id are kept: they cannot be told apart.
+    Of rows that share an id one stays. Rows with a null id are kept: they cannot be told apart. Texts are filtered
+    where they lie; only rows of ids that repeat are shuffled.
     """
-    found = near_duplicates(docs, id_column, text, **options)
-    kept = free_name(docs.columns, "kept")
-    keep = found.filter(F.col(id_column) == F.col("component_id")).select(F.col(id_column).alias(kept)).distinct()
-    with_id = docs.join(keep, docs[id_column] == keep[kept]).drop(kept).dropDuplicates([id_column])
-    return with_id.unionByName(docs.filter(F.col(id_column).isNull()))
+    found = near_duplicates(docs, id_column, text, **options).filter(F.col(id_column).isNotNull())
+    kept = F.max(F.col(id_column) == F.col("component_id")).alias("kept")
+    ids = stored(found.groupBy(id_column).agg(F.count("*").alias("n"), kept), "ids")
+    # Ids are longs here, as they are compared; the column itself stays as it is.
+    ids = ids.withColumn(id_column, F.col(id_column).cast(docs.schema[id_column].dataType))
+    left = exclude_in_place(docs, ids.filter("not kept").select(id_column), [id_column])
+    repeated = ids.filter("kept and n > 1").select(id_column)
+    if repeated.isEmpty():
+        return left
+    once = dimension_join(left, repeated, [id_column], [text], "left_semi").select(*docs.columns).dropDuplicates([id_column])
+    return exclude_in_place(left, repeated, [id_column]).unionByName(once)

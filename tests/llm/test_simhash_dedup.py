@@ -86,6 +86,7 @@ def test_links_connect_what_pairs_connect(spark, groups, size, key_block):
     df = spark.createDataFrame([(p,) for p in prints], "print long")
     links = [(r.a, r.b) for r in S.print_links(df, key_block=key_block).distinct().collect()]
     assert all((a ^ b).bit_count() <= 4 for a, b in links) or key_block == 8 or size == 60
+    assert {p for link in links for p in link} <= set(prints)
     wanted = slow_components(prints)
     roots = {r.node: r.component for r in components(spark.createDataFrame(links or [(0, 0)], "a long, b long")).collect()}
     assert [roots.get(p, p) for p in prints] == [prints[i] for i in wanted]
@@ -122,3 +123,33 @@ def test_components_of_a_long_path_and_a_star(spark):
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**{i: 0 for i in range(1, 61)}, **{i: 100 for i in range(101, 180)}}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_a_key_of_many_fingerprints_is_never_whole_in_a_task(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    prints = sorted({int(x) << 44 for x in rng.integers(0, 1 << 19, 6000)})  # the two lower segments are the same
+    sizes = spark.sparkContext.accumulator(0)
+    roots = S._roots
+
+    def counted(values, max_bits):
+        if len(values) > 1500:
+            sizes.add(1)
+        return roots(values, max_bits)
+
+    monkeypatch.setattr(S, "_roots", counted)
+    df = spark.createDataFrame([(p,) for p in prints], "print long")
+    found = {r.node: r.component for r in components(S.print_links(df, key_block=500)).collect()}
+    assert {found.get(p, p) for p in prints} == {prints[0]} and sizes.value == 0
+    S.print_links(df).count()
+    assert sizes.value > 0
+
+
+def test_repeated_ids_and_many_dropped_rows(spark, monkeypatch):
+    text = " ".join(f"word{i}" for i in range(50))
+    rows = [(i, text, "s") for i in range(40)] + [(100, "one of its kind", "s")] * 3 + [(0, text, "s"), (None, text, "s")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    plain = S.exclude_in_place
+    for options in ({}, {"max_bytes": -1}):
+        monkeypatch.setattr(S, "exclude_in_place", lambda a, b, keys, options=options: plain(a, b, keys, **options))
+        got = sorted((r.doc_id is None, r.doc_id) for r in S.keep_representatives(docs).collect())
+        assert got == [(False, 0), (False, 100), (True, None)]

@@ -1,3 +1,4 @@
+import random
 import time
 
 import pytest
@@ -31,6 +32,48 @@ def test_largest_stretch_wins_and_short_lines_stay():
     assert M.main_text(page) == "No.\nA much longer body than the teaser\nYes."
 
 
+LONG, OTHER = "A paragraph of the article with a good number of words.", "Another one, a little shorter."
+
+
+@pytest.mark.parametrize(
+    ("page", "lines"),
+    [
+        (f"<body><form id=aspnetForm><h1>Title</h1><p>{LONG}</p><input><p>{OTHER}</p></form>", ["Title", LONG, OTHER]),
+        (f"<div id=text><p>{LONG}</p><ul class=related><li>a<li>b<li>c<li>d</ul><p>{OTHER}</p></div>", [LONG, OTHER]),
+        (f"<article><p>{LONG}</p></article>{'<div class=ad><p>Buy</p></div>' * 4}<article><p>{OTHER}</p></article>", [LONG, OTHER]),
+        (f'<p>x</p><nav>a</nav><nav>b</nav><nav>c</nav><article class="post ad-free"><p>{LONG}</p></article>', [LONG]),
+        (f'<div class="sidebar-right"><p>{LONG}</p><p>{OTHER}</p></div>', [LONG, OTHER]),
+        (f'<div><p>{LONG}</p><svg viewBox="0 0 1 1"/><p>{OTHER}</p></div>', [LONG, OTHER]),
+        (f"<div><p><a href=x>{OTHER}</a></p><p>{LONG}</p></div>", [OTHER, LONG]),
+        (f"<div><p>{OTHER}</p></div>{'<nav>x</nav>' * 4}<div><p>{OTHER[:-1]}!</p></div>", [OTHER]),  # as heavy: the first
+        ("<form><label>Mail</label><input> Send us a line <button>Go</button></form>", []),
+        ("<div class='cookie-notice'><p>We use cookies</p></div><nav>x</nav>", []),
+        (f"<article><p>{LONG}</p></article><article class=comment><p>{OTHER}</p></article>", [LONG]),
+    ],
+)
+def test_wrappers_and_gaps(page, lines):
+    assert M.main_text(page).split("\n") == (lines or [""])
+
+
+def slow_stretch(lengths, window):
+    """All stretches that begin where text is, go on while a window holds text, and end where none does."""
+    n, best = len(lengths), (0, 0)
+    for i in range(n):
+        if lengths[i] and not any(lengths[max(0, i - window) : i]):
+            j = next((j for j in range(i, n) if not any(lengths[j : j + window])), n)
+            best = max(best, (i, j), key=lambda s: (sum(lengths[s[0] : s[1]]), -s[0]))
+    return best
+
+
+def test_stretch_against_brute_force():
+    rng = random.Random(4)
+    for _ in range(300):
+        lengths = [rng.choice([0, 0, 0, 3, 8]) for _ in range(rng.randrange(25))]
+        lines = [M.Line("x" * n, n, False, True, 0) for n in lengths]
+        first, last = slow_stretch(lengths, 3)
+        assert [line.text for line in M._stretch(lines, 3)] == ["x" * n for n in lengths[first:last] if n]
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [(None, ""), ("", ""), ("just text", "just text"), ("<p>", ""), ("<p>a <", "a <"), ("a<!-- open", "a"), ("<p title='>'>x", "x"),

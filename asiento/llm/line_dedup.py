@@ -15,8 +15,8 @@ from asiento.operators.joins import BROADCAST_BYTES, measured_bytes
 #: A line on more than this share of the pages of its host is boilerplate. Much lower, the lines of a
 #: document that a host holds in many copies would count as such, and all its copies be emptied.
 RATIO = 0.1
-#: On a host of a few pages a share tells nothing: so many pages must have the line.
-LEAST_PAGES = 5
+#: A line on a single page is not repeated, whatever its share of a host with few pages. A caller may ask for more.
+LEAST_PAGES = 2
 
 
 def _lines(text: Column) -> Column:
@@ -74,7 +74,8 @@ def drop_boilerplate(
     Lines end at ``\\n`` and are compared trimmed of blanks; blank lines are never boilerplate. What is
     left is joined by ``\\n`` as it was. A text of boilerplate only becomes empty; its row stays. A null
     text stays null; rows without a host are of no site and stay as they are. A repeated row counts as a
-    page of its own, unless ``copies_once``: then the equal texts of a host count as one page. Further columns pass through; if ``dropped_lines`` is taken, dropped_lines_2 is used.
+    page of its own, unless ``copies_once``: then the equal texts of a host count as one page. No rows give no
+    rows. Further columns pass through; if ``dropped_lines`` is taken, dropped_lines_2 is used.
     """
     found = stored(boilerplate(pages, host, text, ratio, least_pages, copies_once), "boilerplate")
     count, key, lines = (free_name(pages.columns, name) for name in (dropped, "host_key", "host_lines"))

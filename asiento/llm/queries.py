@@ -144,7 +144,7 @@ QUERIES = {
 _TERMS = r"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"""
 
-#: Documents of a source share a site: lines on over a tenth of its documents, and on five at least, go.
+#: Documents of a source share a site: lines on over a tenth of its documents, and on two at least, go.
 ORACLE = {
     "op6_line_dedup": f"""
         WITH lines AS (

@@ -20,10 +20,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asiento.llm.common import free_name, hashed_words, map_batches, shingled, text_blocks
+from asiento.llm.common import free_name, hashed_words, map_batches, shingled, stored, text_blocks
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 #: Bits by which one of four blocks may differ; the radius is 4 * BLOCK_BITS + 3.
@@ -280,7 +281,8 @@ def find_leaks(
     Words are runs of ASCII letters and digits (case-insensitive) and of other non-ASCII characters. Items
     of fewer than ``k`` words are too short to be told from chance and match nothing; null texts are empty.
     Every item row counts for itself, repeated ones too. Documents without a leak have an empty list. All
-    columns of ``docs`` pass through; if ``leaks`` is taken, leaks_2 is used.
+    columns of ``docs`` pass through; if ``leaks`` is taken, leaks_2 is used. No rows give no rows. A benchmark of
+    more than ``slice_bytes`` is searched slice by slice, with the table written in between.
     """
     name = free_name(docs.columns, leaks)
     items = benchmark.select(F.col(item_id).cast("long").alias("id"), F.coalesce(item_text, F.lit("")).alias("text"))
@@ -290,15 +292,17 @@ def find_leaks(
     for number in range(slices):
         part = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(slices)) == number).collect()
         bench = build_benchmark([row["id"] for row in part], [row["text"] for row in part], k, block_bits, similarity)
-        found = _with_leaks(found, bench, text, columns, name, similarity, 4 * block_bits + 3)
+        shared = docs.sparkSession.sparkContext.broadcast(bench)
+        found = _with_leaks(found, shared, text, columns, name, similarity, 4 * block_bits + 3)
+        if number < slices - 1:  # a job for each slice, so that no task holds two of them
+            found = stored(found, f"leaks_{number}")
+            shared.unpersist()
     return found
 
 
 def _with_leaks(
-    docs: DataFrame, bench: Benchmark, text: str, columns: list[str], name: str, similarity: float, radius: int
+    docs: DataFrame, shared: Broadcast, text: str, columns: list[str], name: str, similarity: float, radius: int
 ) -> DataFrame:
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(bench)
     at = [c.lower() for c in columns].index(text.lower())
     again = name in docs.columns
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("first_word", pa.int64())]))

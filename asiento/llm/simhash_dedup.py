@@ -216,7 +216,10 @@ def print_links(prints: DataFrame, max_bits: int = MAX_BITS, key_block: int = KE
             at = at[np.bitwise_count(values[at] ^ values[at + step]) <= max_bits]
             yield np.column_stack([rows[at, 1], rows[at + step, 1]])
 
-    keys = map_batches(prints.select("print"), keyed, "key long, print long")
+    # A fingerprint gives about 85 keys: a small table of them is worth all cores.
+    session = prints.sparkSession
+    tasks = max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+    keys = map_batches(prints.select("print").repartition(tasks, "print"), keyed, "key long, print long")
     counts = keys.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > key_block)
     heavy = stored(counts.select("key", F.ceil(F.col("n") / key_block).alias("parts")), "heavy_keys")
     block = F.pmod(F.xxhash64("print"), F.col("parts"))

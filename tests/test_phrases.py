@@ -1,5 +1,6 @@
 """Long lists of phrases: the index against plain search."""
 
+import inspect
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 import asiento as A
 from asiento.operators import joins
+from asiento.operators import phrases as phrases_module
 from asiento.operators.filters import CHAINED
 from asiento.operators.joins import exclude_in_place
 
@@ -95,3 +97,23 @@ def test_texts_are_not_shuffled(spark, plan):
     executed = plan(found)
     assert "BroadcastHashJoin" in executed and "hashpartitioning" not in executed
     assert joins.BROADCAST_BYTES == 64 << 20
+
+
+def test_slices_look_only_at_texts_that_are_left(spark, monkeypatch):
+    looked_at, hits = [], phrases_module._hits
+
+    def counted(df, *rest):
+        looked_at.append(df.count())
+        return hits(df, *rest)
+
+    monkeypatch.setattr(phrases_module, "_hits", counted)
+    values = [f"text {i} of many words" for i in range(50)] + [f"other {i}" for i in range(10)]
+    left = A.exclude_phrase_table(texts(spark, values), table(spark, ["many w", "any wo", "of man", "qqqqqq", "zz zz zz"]), "body", max_bytes=60)
+    assert kept(left) == list(range(50, 60))
+    assert len(looked_at) > 2 and looked_at[0] == 60 and looked_at[-1] == 10
+
+
+def test_the_driver_builds_small_tables():
+    assert phrases_module.SLICE_BYTES <= 8 << 20
+    for function in (A.find_phrases, A.exclude_phrase_table):
+        assert inspect.signature(function).parameters["max_bytes"].default == phrases_module.SLICE_BYTES

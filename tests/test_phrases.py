@@ -117,3 +117,12 @@ def test_the_driver_builds_small_tables():
     assert phrases_module.SLICE_BYTES <= 8 << 20
     for function in (A.find_phrases, A.exclude_phrase_table):
         assert inspect.signature(function).parameters["max_bytes"].default == phrases_module.SLICE_BYTES
+
+
+def test_one_row_of_a_phrase_is_shuffled(spark, plan):
+    phrases = phrases_module.phrase_table(table(spark, ["some long phrase", "b", "\U0001f642abc defg"]))
+    index = phrases_module.phrase_index(phrases, texts(spark, ["some text", None]), "body")
+    assert "SortMergeJoin" not in plan(index) and "SortAggregate" not in plan(index)
+    found = {r.phrase: (r.length, r.gram) for r in index.collect()}
+    assert set(found) == {"some long phrase", "b", "\U0001f642abc defg"} and found["b"] == (1, "b")
+    assert all(gram in phrase and len(gram) == min(6, len(phrase)) for phrase, (_, gram) in found.items())

@@ -1,13 +1,15 @@
 import time
 from datetime import date
+from hashlib import md5
 
 import pytest
 from pyspark.sql import functions as F
 
 import asiento as A
 from asiento.schemas import INDEX_ROWS
-from asiento.sources.markup import read_links, read_page
-from asiento.sources.pages import INDEX_ROWS_SHAPE, VALUE_PAGER, VALUE_ROWS, parse_pages, wanted_ids
+from asiento.sources.markup import attributes, read_links, read_page
+from asiento.sources.pages import INDEX_ROWS_SHAPE, VALUE_PAGER, VALUE_ROWS, one_capture, parse_pages, wanted_ids
+from asiento.storage import stored
 
 HEADER = "cuit,company_name,ticker,company_description,sector,industry_group,industry,subindustry,subindustry_definition,extra"
 ROWS = """30111111111, Alfa SA ,ALFA,,Energy,,,,,x
@@ -315,3 +317,31 @@ def test_form_fields(spark):
 
 def test_reader_and_shape_agree_with_names():
     assert INDEX_ROWS_SHAPE.name != VALUE_ROWS.name
+
+
+def test_only_captures_of_equal_size_are_digested(spark):
+    """Captures are written without a digest; of equal ones the least digest counts, and null page numbers are a page."""
+    plans = {}
+
+    def store(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, name)
+
+    control, row = "struct<element_id: string, kind: string, value: string>", "struct<cells: array<string>>"
+    values = [
+        ("1", 1, 1, [], [(["a"],)]), ("1", 1, 1, [], [(["a"],), (["b"],)]),
+        ("1", 2, 1, [], [(["c"],)]), ("1", 2, 1, [], [(["d"],)]), ("1", 2, 1, [], []),
+        ("2", 1, None, [], [(["e"],)]), ("2", 1, None, [], [(["e"],)]), ("3", 1, 1, [("i", "value", "x")], []),
+    ]
+    items = spark.createDataFrame(values, f"company_id string, filing_pos long, page_no int, controls array<{control}>, rows array<{row}>")
+    found = one_capture(items.repartition(3), store)
+    cells = sorted((r.company_id, r.filing_pos, [x.cells[0] for x in r.rows]) for r in found.collect())
+    digest = {text: md5(f'{{"rows":[{{"cells":["{text}"]}}],"controls":[]}}'.encode()).digest() for text in "cd"}
+    assert cells == [("1", 1, ["a", "b"]), ("1", 2, [min("cd", key=digest.get)]), ("2", 1, ["e"]), ("3", 1, [])]
+    assert found.columns == items.columns and "to_json" not in plans["captures"] and "md5" not in plans["captures"]
+
+
+def test_tags_written_alike_are_taken_apart_once():
+    assert attributes(' Class=a id="b&amp;c"') is attributes(' Class=a id="b&amp;c"') == {"class": "a", "id": "b&c"}
+    long = f" value='{'x' * 1000}'"
+    assert attributes(long) is not attributes(long) and attributes(long) == {"value": "x" * 1000}

@@ -83,3 +83,8 @@ def test_prefilter_keeps_all_and_little_more(spark):
     assert kept.join(right, ["k", "s"]).count() == 200 and kept.count() < 3000
     assert prefilter(left, right, ["k", "s"], max_slots=1 << 10).join(right, ["k", "s"]).count() == 200
     assert prefilter(left, right.limit(0), ["k", "s"]).count() == 0
+
+
+def test_lines_are_rendered_behind_their_shuffle(spark, plan):
+    text = plan(shapes.raw_lines.__wrapped__(spark, SF))
+    assert "format_number" in text and "format_number" not in text[text.index("Join") :]

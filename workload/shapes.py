@@ -74,6 +74,11 @@ def _spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(spark.sparkContext.defaultParallelism, KEYS[name])
 
 
+def _given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table as it is given, for renderings that shuffle it themselves."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table; with a shared folder, its spread copy, made once."""
     if name in KEYS and spark.conf.get("spark.checkpoint.dir", None):
@@ -139,7 +144,10 @@ FILING_FIELDS = {
 @stored
 def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``FILINGS_RAW`` plus the 16 form fields, one row per order; ``orderkey`` names the order."""
-    facts = table(spark, sf_dir, "orders").selectExpr(
+    orders = _given(spark, sf_dir, "orders")
+    if spark.conf.get("spark.checkpoint.dir", None):
+        orders = orders.repartition(spark.sparkContext.defaultParallelism, KEYS["orders"])
+    facts = orders.selectExpr(
         "o_custkey",
         "o_totalprice",
         "o_orderkey as k",
@@ -154,12 +162,12 @@ def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @stored
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``CONCEPTS_RAW`` of all line items under the filing of their order, with two more numbers as text."""
+    # Joined as the numbers they are: text is several times as wide.
+    orders = _given(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey")
+    numbers = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"]
+    joined = _given(spark, sf_dir, "lineitem").select(*numbers).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     part, line = F.col("l_partkey"), F.col("l_linenumber")
-    orders = table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey as orderkey",
-        *[f"{FILING_FIELDS[name].replace('k ', 'o_orderkey ')} as {name}" for name in FILING_KEY],
-    )
-    lines = table(spark, sf_dir, "lineitem").select(
+    return joined.select(
         F.col("l_orderkey").alias("orderkey"),
         # Together unique within an order, and within their bits for a million suppliers and 30 million parts.
         (F.col("l_suppkey") * 8 + line).cast("int").alias("page_no"),
@@ -173,8 +181,8 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("id"),
         es_whole(F.col("l_orderkey")).alias("order_text"),
         es_decimal(-F.col("l_quantity")).alias("quantity_text"),
+        *[F.expr(f"{FILING_FIELDS[name].replace('k ', 'o_orderkey ')} as {name}") for name in FILING_KEY],
     )
-    return lines.join(orders, "orderkey")
 
 
 def concepts(spark: SparkSession, sf_dir: str) -> DataFrame:

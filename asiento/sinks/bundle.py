@@ -203,6 +203,24 @@ def write_partitions(
     Values outside ``replaced`` are replaced where the table has rows of them, and kept otherwise.
     """
     order = order or [by]
+    context = table.sparkSession.sparkContext
+    jvm = context._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+
+    def stored_files() -> dict[str, set[str]]:
+        """The names of the files in each folder of a value."""
+        found: dict[str, set[str]] = {}
+        top = files.makeQualified(folder).toString().rstrip("/")
+        if files.exists(folder):
+            listed = files.listFiles(folder, True)
+            while listed.hasNext():
+                above, parent, name = listed.next().getPath().toString().rsplit("/", 2)
+                if above == top and parent.startswith(f"{by}="):
+                    found.setdefault(parent, set()).add(name)
+        return found
+
+    before = stored_files()
     (
         table.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -214,20 +232,15 @@ def write_partitions(
         .partitionBy(by)
         .save(path)
     )
-    spark = table.sparkSession
-    context = spark.sparkContext
-    jvm = context._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
-    if not files.exists(folder):
+    # A write names its files anew: folders with the files of before got no rows. So the table is computed once.
+    after = stored_files() if before else {}
+    stale = {name for name, held in before.items() if held == after.get(name)}
+    if not stale:
         return
     escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    left = table.select(F.col(by).alias("_by")).distinct()
-    stale = replaced.select(by).join(left, F.col(by).eqNullSafe(F.col("_by")), "left_anti")
-    folders = {status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()}
-    for row in stale.toLocalIterator():
+    for row in replaced.select(by).distinct().toLocalIterator():
         name = f"{by}={'__HIVE_DEFAULT_PARTITION__' if row[0] is None or row[0] == '' else escape(row[0])}"
-        if name in folders:
+        if name in stale:
             files.delete(jvm.org.apache.hadoop.fs.Path(folder, name), True)
 
 

@@ -4,6 +4,7 @@ import pytest
 
 import asiento as A
 from asiento.schemas import FILING_PAGES, INDEX_ROWS
+from asiento.sinks.bundle import write_partitions
 from tests.test_clean import clean
 from tests.test_sources import registry, values_page
 
@@ -192,3 +193,14 @@ def test_run_names_the_table_that_failed(spark, tmp_path, monkeypatch):
     with pytest.raises(A.plans.ExportError, match="bundle: division"):
         run(spark, tmp_path)
     assert spark.read.parquet(f"{tmp_path}/out/rejects").count() > 0 and spark.read.parquet(f"{tmp_path}/out/report").count() == 3
+
+
+def test_partitions_are_written_from_one_reading_of_the_table(spark, tmp_path):
+    """The table is not computed again to find what it has no rows for: here its files are gone by then."""
+    out = str(tmp_path / "once")
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "ticker string, value long")
+    write_partitions(rows, out, "ticker", rows)
+    table = spark.read.schema(rows.schema).parquet(out).filter("ticker = 'a' or value = 4")
+    write_partitions(table, out, "ticker", rows.filter("ticker is null or ticker <> 'c'"))
+    found = spark.read.schema(rows.schema).parquet(out).collect()
+    assert sorted((row.value, row.ticker) for row in found) == [(1, "a"), (3, "c"), (4, None)]

@@ -88,3 +88,9 @@ def test_prefilter_keeps_all_and_little_more(spark):
 def test_lines_are_rendered_behind_their_shuffle(spark, plan):
     text = plan(shapes.raw_lines.__wrapped__(spark, SF))
     assert "format_number" in text and "format_number" not in text[text.index("Join") :]
+
+
+def test_controls_are_named_once_for_all_fields(spark, plan):
+    items = "company_id string, filing_pos long, page_no int, controls array<struct<element_id: string, kind: string, value: string>>"
+    text = plan(A.pivot_items(spark.createDataFrame([], items)))
+    assert text.count("lambdafunction(concat(") == 1 and "filter(" not in text

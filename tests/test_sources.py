@@ -345,3 +345,13 @@ def test_tags_written_alike_are_taken_apart_once():
     assert attributes(' Class=a id="b&amp;c"') is attributes(' Class=a id="b&amp;c"') == {"class": "a", "id": "b&c"}
     long = f" value='{'x' * 1000}'"
     assert attributes(long) is not attributes(long) and attributes(long) == {"value": "x" * 1000}
+
+
+@pytest.mark.parametrize("html", [
+    PAGE, "<select id=s1><option>a<textarea id=t1>b</select>c<br>d</textarea>", "<textarea id=t1>a<select id=s1>b<option>c</textarea>d</select>",
+    "<select id=s1><option>a<select id=s2>b<option>c<input id=v1 value=1></select><select id=s2></select>", "<select id=s1><option>a", "",
+])
+def test_controls_alone_are_read_as_beside_rows(html):
+    ids = {"v1", "v2", "v3", "s1", "s2", "s3", "t1"}
+    alone, beside = read_page("u", html, ids, (), VALUE_PAGER), read_page("u", html, ids, [VALUE_ROWS], VALUE_PAGER)
+    assert alone.found_controls == beside.found_controls and alone.pages == beside.pages

@@ -126,3 +126,21 @@ def test_one_row_of_a_phrase_is_shuffled(spark, plan):
     found = {r.phrase: (r.length, r.gram) for r in index.collect()}
     assert set(found) == {"some long phrase", "b", "\U0001f642abc defg"} and found["b"] == (1, "b")
     assert all(gram in phrase and len(gram) == min(6, len(phrase)) for phrase, (_, gram) in found.items())
+
+
+def test_passes_do_not_grow_with_the_phrases(spark, monkeypatch):
+    rng = random.Random(11)
+    values = random_words(rng, 60, most=900) + ["", None, "Σ\U0001f642abc" * 80]
+    phrases = [p for p in random_words(rng, 400, most=14) if len(p) > 4] + [values[0][200:500], values[1][100:228], "\U0001f642ABCσ\U0001f642", "zz" * 100]
+    passes, hits = [], phrases_module._hits
+    monkeypatch.setattr(phrases_module, "_hits", lambda *given: passes.append(given) or hits(*given))
+    left = A.exclude_phrase_table(texts(spark, values), table(spark, phrases), "body", max_bytes=2000)
+    assert kept(left) == sorted(set(range(len(values))) - held(values, phrases)) and 5 < left.count() < 50
+    assert len(passes) == 4  # beginnings, whole texts, the rest of the phrases, phrases longer than a piece
+
+
+def test_pieces_hold_every_run(spark):
+    text = "".join(random.Random(2).choices("abcé\U0001f642\n", k=500))
+    found = spark.createDataFrame([(text,), ("ab",), ("",)], "t string").select(phrases_module.pieces("t", 40, 12).alias("p")).collect()
+    assert {text[i : i + 12] for i in range(489)} <= {p[i : i + 12] for p in found[0].p for i in range(len(p))}
+    assert max(map(len, found[0].p)) == 51 and [r.p for r in found[1:]] == [["ab"], []]

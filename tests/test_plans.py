@@ -94,3 +94,26 @@ def test_controls_are_named_once_for_all_fields(spark, plan):
     items = "company_id string, filing_pos long, page_no int, controls array<struct<element_id: string, kind: string, value: string>>"
     text = plan(A.pivot_items(spark.createDataFrame([], items)))
     assert text.count("lambdafunction(concat(") == 1 and "filter(" not in text
+
+
+def test_lines_of_value_pages_are_shuffled_once_as_numbers(spark, plan, no_auto_broadcast):
+    text = plan(shapes.value_pages.__wrapped__(spark, SF))
+    assert text.count("Exchange hashpartitioning") == 2  # lines and orders, both by the order
+    below = text[text.index("SortMergeJoin") :]
+    assert "format_string" not in below and "concat" not in below and "l_shipdate" not in below
+
+
+def test_value_pages_of_odd_lines(spark, tmp_path):
+    line = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double"
+    lines = [(15, 1, 1, 1, 1.0, 5.0), (15, 1, 1, 2, 1.0, None), (15, 1, 1, None, 1.0, 7.0), (None, 1, 1, 1, 1.0, 5.0), (9, 1, 1, 1, 1.0, 5.0), (61, 1, 1, 3, 1.0, 8.0)]
+    orders = [(k, 3, 10.0) for k in (15, 61, 61, None)]
+    spark.createDataFrame(lines, line).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double")
+    orders.selectExpr("*", "timestamp'1997-05-05' as o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    found = shapes.value_pages.__wrapped__(spark, str(tmp_path)).collect()
+    tables = sorted((r.document_link[-2:], r.page_no or 0, re.sub("(?s)^.*?<tbody>|</tbody>.*", "", r.html)) for r in found)
+    row = "<tr><td>{}</td><td>{}</td><td>{}</td></tr>".format
+    both = row(1, "CAJA Y BANCOS", "5,00") + row(2, "VENTAS", "nu")
+    first, second = ("61", 2, row(3, "Costo de lo Vendido", "8,00")), ("61", 3, "")
+    nameless = ("15", 0, row("", "NOTA", "7,00"))
+    assert tables == [nameless, ("15", 1, row(1, "CAJA Y BANCOS", "5,00")), ("15", 1, both), first, first, second, second]

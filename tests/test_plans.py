@@ -117,3 +117,11 @@ def test_value_pages_of_odd_lines(spark, tmp_path):
     first, second = ("61", 2, row(3, "Costo de lo Vendido", "8,00")), ("61", 3, "")
     nameless = ("15", 0, row("", "NOTA", "7,00"))
     assert tables == [nameless, ("15", 1, row(1, "CAJA Y BANCOS", "5,00")), ("15", 1, both), first, first, second, second]
+
+
+def test_steps_are_stored_as_zstd(spark):
+    from asiento.storage import stored as step
+
+    kept = step(spark.range(5).toDF("k"), "kept")
+    rendered = shapes.value_pages(spark, SF)
+    assert all(".zstd." in name for df in (kept, rendered) for name in df.inputFiles()) and kept.count() == 5
